@@ -1 +1,91 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: group audit (A-10 .. A-12)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlake import config as C
+from ledgerlake.operators import audit
+from ledgerlake.plans import oracle_sql as S
+from ledgerlake.plans.q_policy import policy_ctes
+from ledgerlake.plans.q_profile import decided_cte
+from ledgerlake.plans.registry import ratio, register
+from ledgerlake.plans.stages import Stages
+
+P = C.DEFAULT
+
+
+def _scored_test(spark, sf_dir):
+    st = Stages(spark, sf_dir)
+    return st.decided(st.test).withColumn("funded", F.col("decision") == "fund")
+
+
+def groups_cte() -> list[str]:
+    parts = [
+        f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS "group", count(*) AS n,
+  avg(CASE WHEN funded THEN 1e0 ELSE 0e0 END) AS fund_rate, avg(risk_score) AS mean_score,
+  avg(CAST(target AS DOUBLE)) AS default_rate, avg(CASE WHEN funded THEN CAST(target AS DOUBLE) END) AS default_if_funded,
+  count(*) FILTER (WHERE funded) AS n_funded FROM test_f GROUP BY {c}"""
+        for c in C.FAIRNESS_COLUMNS
+    ]
+    return [
+        *policy_ctes(), decided_cte("test", "test_dec"),
+        "test_f AS (SELECT *, decision = 'fund' AS funded FROM test_dec)",
+        f"groups AS (SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE n >= {P.min_group_size})",
+    ]
+
+
+def _sql_group_audit():
+    return S.with_ctes(*groups_cte(), select=f"""
+SELECT "column", "group", n, {S.rhu('fund_rate', 6)} AS fund_rate, {S.rhu('mean_score', 6)} AS mean_score,
+       {S.rhu('default_rate', 6)} AS default_rate, {S.rhu('default_if_funded', 6)} AS default_if_funded, n_funded
+FROM groups""")
+
+
+@register("group_audit", _sql_group_audit)
+def q_group_audit(spark, sf_dir):
+    """A-10: per-group funding and outcome table, three columns in one pass."""
+    g = audit.by_group(_scored_test(spark, sf_dir), min_count=P.min_group_size)
+    return g.select("column", "group", "n", ratio("fund_rate"), ratio("mean_score"), ratio("default_rate"),
+                    ratio("default_if_funded"), "n_funded")
+
+
+def _sql_disparity():
+    sx, sy = "stddev_pop(mean_score)", "stddev_pop(default_rate)"
+    corr = f"CASE WHEN count(*) > 1 AND {sx} > 0 AND {sy} > 0 THEN covar_pop(mean_score, default_rate) / ({sx} * {sy}) END"
+    enough = f"n_funded >= {P.min_funded_for_error}"
+    return S.with_ctes(*groups_cte(), select=f"""
+SELECT "column", count(*) AS groups,
+  first("group" ORDER BY fund_rate ASC, "group" ASC) AS fund_rate_min_group, {S.rhu('min(fund_rate)', 6)} AS fund_rate_min,
+  first("group" ORDER BY fund_rate DESC, "group" ASC) AS fund_rate_max_group, {S.rhu('max(fund_rate)', 6)} AS fund_rate_max,
+  {S.rhu('max(fund_rate) - min(fund_rate)', 6)} AS fund_rate_spread,
+  {S.rhu(f'min(CASE WHEN {enough} THEN default_if_funded END)', 6)} AS default_if_funded_min,
+  {S.rhu(f'max(CASE WHEN {enough} THEN default_if_funded END)', 6)} AS default_if_funded_max,
+  {S.rhu(corr, 6)} AS score_vs_outcome_correlation
+FROM groups GROUP BY "column\"""")
+
+
+@register("group_disparity", _sql_disparity)
+def q_disparity(spark, sf_dir):
+    """A-11: disparity summary per audited column."""
+    g = audit.by_group(_scored_test(spark, sf_dir), min_count=P.min_group_size)
+    d = audit.disparity(g, P.min_funded_for_error)
+    return d.select(
+        "column", "groups", "fund_rate_min_group", ratio("fund_rate_min"), "fund_rate_max_group", ratio("fund_rate_max"),
+        ratio("fund_rate_spread"), ratio("default_if_funded_min"), ratio("default_if_funded_max"),
+        ratio("score_vs_outcome_correlation"),
+    )
+
+
+def _sql_totals():
+    return S.with_ctes(*groups_cte()[:-1], select=f"""
+SELECT count(*) AS test_loans, {S.rhu('avg(CASE WHEN funded THEN 1e0 ELSE 0e0 END)', 6)} AS overall_fund_rate,
+       {S.rhu('avg(CASE WHEN funded THEN CAST(target AS DOUBLE) END)', 6)} AS overall_default_if_funded
+FROM test_f""")
+
+
+@register("audit_totals", _sql_totals)
+def q_totals(spark, sf_dir):
+    """A-12: test loans, overall fund rate, default rate among funded."""
+    t = audit.totals(_scored_test(spark, sf_dir))
+    return t.select("test_loans", ratio("overall_fund_rate"), ratio("overall_default_if_funded"))

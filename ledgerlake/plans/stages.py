@@ -100,6 +100,17 @@ class Stages:
             "calibrated_risk_at_threshold": policy.risk_at_threshold(tune, thr),
         }
 
+    def decided(self, df: DataFrame) -> DataFrame:
+        """P-17 with the tuned threshold and the train profit model (serving
+        amount: loan_amnt)."""
+        return policy.decide(add_scores(df), self.tuned["threshold"], self.profit, amount_col="loan_amnt")
+
+    @cached_property
+    def features(self) -> DataFrame:
+        from ledgerlake.functions.features import credit_policy_columns, derive_features
+
+        return credit_policy_columns(derive_features(self.raw))
+
     def test_policies(self) -> tuple[DataFrame, dict[str, Column]]:
         """Scored test rows and the five policy columns of the evaluation."""
         t = self.tuned
