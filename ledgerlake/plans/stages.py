@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import config as C
 from ledgerlake.operators import labels, policy, splits
-from ledgerlake.sources.tables import loans
+from ledgerlake.sources.loan_store import loan_table
 
 
 def closed_form_score(prefix: str = "") -> Column:
@@ -45,7 +45,7 @@ class Stages:
 
     @cached_property
     def raw(self) -> DataFrame:
-        return loans(self.spark, self.sf_dir)
+        return loan_table(self.spark, self.sf_dir)
 
     @cached_property
     def prepared(self) -> DataFrame:

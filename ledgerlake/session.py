@@ -28,6 +28,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -50,11 +51,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (survives executor loss), never a local one."""
+    """Reliable checkpoint (survives executor loss), never a local one.
+
+    Used for small reduced tables that are read by several passes."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def session_folder(spark: SparkSession, name: str) -> str:
+    """A folder for tables written by this application under the shared
+    checkpoint location (one subfolder per application id)."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/ledgerlake-{spark.sparkContext.applicationId}/{name}"
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only after proving it is small.
 
