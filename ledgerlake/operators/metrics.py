@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.windows import running_sums
-from ledgerlake.session import bounded_broadcast
+from ledgerlake.session import bounded_broadcast, cut_lineage
 
 EPS = 2.220446049250313e-16
 
@@ -46,10 +46,11 @@ def ranking(df: DataFrame, y: str = "target", p: str = "probability_of_default",
     """Exact ROC-AUC (ties count one half) and average precision per group."""
     df, g, synthetic = _grouped(df, group)
     s = F.col(p).cast("double")
-    by_score = df.groupBy(*g, s.alias("score")).agg(
+    # one row per (group, distinct score), read by both running sums
+    by_score = cut_lineage(df.groupBy(*g, s.alias("score")).agg(
         F.sum(F.col(y).cast("long")).alias("pos"),
         F.sum((F.lit(1) - F.col(y)).cast("long")).alias("neg"),
-    )
+    ))
     # ascending: negatives strictly below each score (for AUC)
     asc = running_sums(by_score, ["score"], ["neg"], g, prefix="cum_")
     # descending: cumulative positives/all at or above each score (for AP)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import config as C
 from ledgerlake.functions.windows import carry, running_sums
-from ledgerlake.session import round_half_up
+from ledgerlake.session import cut_lineage, round_half_up
 
 
 def as_category(c: str, dtype) -> Column:
@@ -57,12 +57,15 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns, batch: str
     nulls dropped on both sides."""
     ref = _long(reference, columns).filter(F.col("value").isNotNull())
     cur = _long(current, columns, keep=(batch,)).filter(F.col("value").isNotNull())
-    ref_n = ref.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    ref_stats = ref.groupBy("column").agg(
-        F.count(F.lit(1)).alias("ref_count"), F.avg("value").alias("ref_mean"),
-        F.stddev_pop("value").alias("ref_std"), F.max("value").alias("r_max"),
-    )
-    cur_n = cur.groupBy(batch, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    # Reduced tables are read by several later steps: each is written once
+    # (reliable checkpoint) so the plan below stays small and nothing upstream
+    # is recomputed.
+    ref_n = cut_lineage(ref.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    ref_stats = cut_lineage(ref_n.groupBy("column").agg(
+        F.sum("n").alias("ref_count"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("ref_mean"),
+        F.max("value").alias("r_max"),
+    ).join(ref.groupBy("column").agg(F.stddev_pop("value").alias("ref_std")), "column"))
+    cur_n = cut_lineage(cur.groupBy(batch, "column", "value").agg(F.count(F.lit(1)).alias("n")))
 
     # reference CDF F and integral H at every distinct point of either side
     points = (
@@ -70,13 +73,13 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns, batch: str
         .unionByName(cur_n.select("column", "value", F.lit(0).cast("long").alias("w_n"), F.lit(0.0).alias("w_m")))
         .groupBy("column", "value").agg(F.sum("w_n").alias("w_n"), F.sum("w_m").alias("w_m"))
     )
-    points = running_sums(points, ["value"], ["w_n", "w_m"], ["column"])
+    points = running_sums(cut_lineage(points), ["value"], ["w_n", "w_m"], ["column"])
     n_ref = F.col("ref_count")
-    points = points.join(ref_stats.select("column", "ref_count"), "column").select(
+    points = cut_lineage(points.join(ref_stats.select("column", "ref_count"), "column").select(
         "column", "value", "w_n",
         (F.col("cum_w_n") / n_ref).alias("cdf"),
         (F.col("cum_w_n") / n_ref * F.col("value") - F.col("cum_w_m") / n_ref).alias("H"),
-    )
+    ))
 
     # production intervals: per (column, month) the CDF level k and next point
     in_month = Window.partitionBy("column", batch).orderBy("value")
@@ -88,7 +91,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns, batch: str
         (F.row_number().over(in_month) == 1).alias("is_first"),
     )
     h = points.select("column", "value", "H")
-    intervals = (
+    intervals = cut_lineage(
         intervals.join(h.withColumnRenamed("H", "H_a"), ["column", "value"])
         .join(h.withColumnRenamed("value", "nxt").withColumnRenamed("H", "H_next"), ["column", "nxt"], "left")
         .join(ref_stats, "column")
@@ -102,8 +105,8 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns, batch: str
     queries = intervals.select("column", F.col("k").alias("key")).distinct().select(
         "column", "key", F.lit(0).alias("tie"), F.lit(None).cast("struct<x:double,Hx:double>").alias("hit")
     )
-    found = carry(ref_pts.unionByName(queries), ["key", "tie"], "hit", ["column"], forward=False, out="xstar")
-    found = found.filter(F.col("tie") == 0).select("column", F.col("key").alias("k"), "xstar")
+    found = carry(cut_lineage(ref_pts.unionByName(queries)), ["key", "tie"], "hit", ["column"], forward=False, out="xstar")
+    found = cut_lineage(found.filter(F.col("tie") == 0).select("column", F.col("key").alias("k"), "xstar"))
     intervals = intervals.join(found, ["column", "k"], "left")
 
     a, k = F.col("value"), F.col("k")

@@ -89,3 +89,49 @@ def q_totals(spark, sf_dir):
     """A-12: test loans, overall fund rate, default rate among funded."""
     t = audit.totals(_scored_test(spark, sf_dir))
     return t.select("test_loans", ratio("overall_fund_rate"), ratio("overall_default_if_funded"))
+
+
+# --- G-1, G-2 -------------------------------------------------------------------------
+
+def _sql_gate():
+    ev = "((1 - risk_score) * (installment*term_months - loan_amnt) * (SELECT prepay_factor FROM pm) - risk_score * (SELECT lgd FROM pm) * loan_amnt)"
+
+    def decided(name, thr):
+        return (f"SELECT '{name}' AS bundle, funded_amnt, realized_profit, "
+                f"CASE WHEN risk_score >= {thr} OR {ev} <= 0 THEN 'decline' ELSE 'fund' END AS decision FROM tune")
+
+    fmt = lambda x: f"printf('%+.5f', {S.rhu(x, 5)})"
+    m = C.PROMOTION_MARGIN
+    return S.with_ctes(
+        *policy_ctes(),
+        f"gated AS ({decided('candidate', '(SELECT threshold FROM chosen)')} UNION ALL {decided('champion', '(SELECT matched_threshold FROM matched)')})",
+        """ret AS (SELECT bundle, CASE WHEN coalesce(sum(CASE WHEN decision = 'fund' THEN funded_amnt END), 0e0) <> 0
+  THEN sum(CASE WHEN decision = 'fund' THEN realized_profit END) / sum(CASE WHEN decision = 'fund' THEN funded_amnt END) ELSE 0e0 END AS r
+  FROM gated GROUP BY bundle)""",
+        "cmp AS (SELECT max(CASE WHEN bundle = 'candidate' THEN r END) AS c, max(CASE WHEN bundle = 'champion' THEN r END) AS h FROM ret)",
+        select=f"""
+SELECT CASE WHEN h IS NULL THEN TRUE ELSE c - h > {m}e0 END AS promote, {S.rhu('c', 6)} AS candidate_return,
+       {S.rhu('h', 6)} AS champion_return, {m}e0 AS margin,
+       CASE WHEN h IS NULL THEN 'no model in production yet' ELSE
+         'candidate ' || {fmt('c')} || ' vs champion ' || {fmt('h')} || ' (' || {fmt('c - h')} || ', '
+         || CASE WHEN c - h > {m}e0 THEN 'above' ELSE 'below' END || ' the {m} margin)' END AS reason
+FROM cmp""")
+
+
+@register("promotion_gate", _sql_gate)
+def q_gate(spark, sf_dir):
+    """G-1 + G-2: candidate (tuned threshold) vs champion (matched-share
+    threshold), both scored on the tuning rows, never on the test year."""
+    from ledgerlake.operators import gate, policy
+    from ledgerlake.plans.stages import add_scores
+
+    st = Stages(spark, sf_dir)
+    _, tune = st.calib_tune
+    t = st.tuned
+    scored = add_scores(tune)
+    cand = policy.decide(scored, t["threshold"], st.profit).withColumn("bundle", F.lit("candidate"))
+    champ = policy.decide(scored, t["matched_threshold"], st.profit).withColumn("bundle", F.lit("champion"))
+    cols = ["bundle", "funded_amnt", "realized_profit", "decision"]
+    returns = gate.bundle_returns(cand.select(*cols).unionByName(champ.select(*cols)))
+    d = gate.promotion_decision(returns, P.promotion_margin)
+    return d.select("promote", ratio("candidate_return"), ratio("champion_return"), "margin", "reason")
