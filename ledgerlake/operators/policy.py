@@ -252,6 +252,25 @@ def uniform_from_hash(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+# Prime modulus of the per-draw sequence (2**31 - 1): all products stay exact in BIGINT.
+DRAW_MODULUS = 2147483647
+
+
+def draw_seeds(key: Column) -> tuple[Column, Column]:
+    """Two per-loan integers from ONE md5: start s in [0, M) and step t in [1, M)."""
+    h = F.md5(key)
+    s = F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(DRAW_MODULUS))
+    t = F.pmod(F.conv(F.substring(h, 9, 8), 16, 10).cast("long"), F.lit(DRAW_MODULUS - 1)) + 1
+    return s, t
+
+
+def draw_uniform(s: Column, t: Column, draw: Column) -> Column:
+    """u_d = ((s + d*t) mod M) / M. For a random (s, t) the pair (u_d, u_e) of
+    two different draws is uniform on the unit square, so draws are pairwise
+    independent across loans; only one hash per loan is computed."""
+    return F.pmod(s + draw.cast("long") * t, F.lit(DRAW_MODULUS)).cast("double") / F.lit(float(DRAW_MODULUS))
+
+
 def poisson_weight(u: Column) -> Column:
     """Inverse CDF of Poisson(1) at u."""
     cdf = _poisson_cdf(POISSON_KMAX)
@@ -269,9 +288,11 @@ def bootstrap_differences(df: DataFrame, comparisons: dict[str, tuple[str, str]]
     has one row per (comparison, draw).
     """
     policies = sorted({c for pair in comparisons.values() for c in pair})
+    s, t = draw_seeds(F.concat_ws("-", F.lit(str(seed)), F.col(key_col)))
+    seeded = df.select("funded_amnt", "realized_profit", *policies, s.alias("_s"), t.alias("_t"))
     draw = F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw")
-    base = df.select(key_col, "funded_amnt", "realized_profit", *policies, draw)
-    w = poisson_weight(uniform_from_hash(F.concat_ws("-", F.lit(str(seed)), F.col(key_col), F.col("draw").cast("string"))))
+    base = seeded.select("*", draw)
+    w = poisson_weight(draw_uniform(F.col("_s"), F.col("_t"), F.col("draw")))
     base = base.withColumn("w", w.cast("double"))
     aggs = []
     for pol in policies:

@@ -335,6 +335,7 @@ COMPARISONS = {
 
 
 def _sql_bootstrap():
+    M = policy.DRAW_MODULUS
     defs = _policy_defs()
     cdf = policy._poisson_cdf(policy.POISSON_KMAX)
     case = "CASE " + " ".join(f"WHEN u < {v!r}e0 THEN {k}" for k, v in enumerate(cdf)) + f" ELSE {policy.POISSON_KMAX + 1} END"
@@ -354,11 +355,12 @@ def _sql_bootstrap():
     )
     return S.with_ctes(
         *policy_ctes(),
-        f"flagged AS (SELECT loan_id, funded_amnt, realized_profit, {flags} FROM test)",
+        f"""flagged AS (SELECT loan_id, funded_amnt, realized_profit, {flags},
+  ('0x' || substr(md5('{P.seed}-' || loan_id), 1, 8))::BIGINT % {M} AS s,
+  ('0x' || substr(md5('{P.seed}-' || loan_id), 9, 8))::BIGINT % {M - 1} + 1 AS t FROM test)""",
         f"draws AS (SELECT range AS draw FROM range({P.bootstrap_draws}))",
         f"""weighted AS (
-  SELECT f.*, d.draw,
-         CAST(('0x' || substr(md5('{P.seed}-' || loan_id || '-' || CAST(d.draw AS VARCHAR)), 1, 8))::BIGINT AS DOUBLE) / 4294967296e0 AS u
+  SELECT f.*, d.draw, CAST((f.s + d.draw * f.t) % {M} AS DOUBLE) / {float(M)!r}e0 AS u
   FROM flagged f, draws d)""",
         f"w2 AS (SELECT *, CAST({case} AS DOUBLE) AS w FROM weighted)",
         f"per_draw AS (SELECT draw, {sums} FROM w2 GROUP BY draw)",
