@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.quantiles import exact_percentiles
 from ledgerlake.functions.windows import running_sums
 from ledgerlake.session import bounded_broadcast, cut_lineage
 
@@ -81,8 +82,8 @@ def reliability(df: DataFrame, y: str = "target", p: str = "probability_of_defau
     """M-10: quantile-binned calibration table (mean predicted vs observed),
     empty bins dropped. Inner edges are exact linear quantiles of p."""
     probs = [i / n_bins for i in range(1, n_bins)]
-    counts = df.groupBy(F.col(p).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("f"))
-    edges = counts.agg(F.percentile("v", F.array(*[F.lit(q) for q in probs]), F.col("f")).alias("e")).first()["e"]
+    # n_bins - 1 rows come back to the driver: the edges become literals.
+    edges = [r["q"] for r in exact_percentiles(df, p, probs).orderBy("prob").collect()]
     edge_arr = F.array(*[F.lit(float(e)) for e in edges])
     b = F.size(F.filter(edge_arr, lambda e: e <= F.col(p).cast("double")))
     return df.groupBy(b.alias("bin")).agg(

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import config as C
 from ledgerlake.functions.features import contractual_gain, expected_return
+from ledgerlake.functions.quantiles import exact_percentiles
 
 
 @dataclass(frozen=True)
@@ -189,12 +190,11 @@ def grade_ab_share(df: DataFrame) -> float:
 def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
     """A-7 core: exact linear-interpolated quantile (numpy 'linear').
 
-    Distinct values are counted first (partial aggregation), then Spark's
-    exact ``percentile`` runs over (value, frequency) pairs, so its buffer
-    holds distinct values, not rows.
+    Distributed: distinct values are counted, ranked by bucketed running
+    sums and only the rows holding the two neighbouring ranks are kept, so
+    no task holds all distinct scores.
     """
-    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_freq"))
-    row = counts.agg(F.percentile(F.col(col), F.lit(q), F.col("_freq")).alias("q")).first()
+    row = exact_percentiles(df, col, [q]).first()
     return None if row is None or row["q"] is None else float(row["q"])
 
 

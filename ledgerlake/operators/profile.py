@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import config as C
 from ledgerlake.functions.features import expected_installment
+from ledgerlake.functions.quantiles import exact_percentiles
 
 DESCRIBE_COLUMNS = ("annual_inc", "loan_amnt", "dti", "revol_util", "fico_mid", "credit_history_months")
 CATEGORY_COLUMNS = ("purpose", "home_ownership", "verification_status", "initial_list_status")
@@ -89,8 +90,8 @@ def describe(df: DataFrame, columns=DESCRIBE_COLUMNS) -> DataFrame:
     """A-20: count, null_count, mean, sample std, min, quartiles (exact,
     linear interpolation), max per column.
 
-    Values are first reduced to (column, value, frequency); the exact
-    percentile then holds distinct values, never rows.
+    Quartiles come from the distributed exact quantile (distinct-value
+    counts and bucketed running sums), never from one buffer per column.
     """
     long = unpivot(df, columns)
     v = F.col("value")
@@ -102,13 +103,11 @@ def describe(df: DataFrame, columns=DESCRIBE_COLUMNS) -> DataFrame:
         F.min(v).alias("min"),
         F.max(v).alias("max"),
     )
-    counts = long.filter(v.isNotNull()).groupBy("column", "value").agg(F.count(F.lit(1)).alias("freq"))
-    f = F.col("freq")
-    quartiles = counts.groupBy("column").agg(
-        F.percentile(v, F.lit(0.25), f).alias("q25"),
-        F.percentile(v, F.lit(0.5), f).alias("median"),
-        F.percentile(v, F.lit(0.75), f).alias("q75"),
-    )
+    qs = exact_percentiles(long, "value", [0.25, 0.5, 0.75], ["column"])
+    quartiles = qs.groupBy("column").agg(*[
+        F.max(F.when(F.col("prob") == F.lit(q), F.col("q"))).alias(name)
+        for q, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))
+    ])
     # Both sides have one row per described column.
     return moments.join(quartiles, "column", "left").select(
         "column", "count", "null_count", "mean", "std", "min", "q25", "median", "q75", "max",

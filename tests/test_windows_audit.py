@@ -62,3 +62,31 @@ def test_disparity_undefined_correlation_is_null(spark):
                                    "column string, group string, n long, fund_rate double, mean_score double, default_rate double, default_if_funded double, n_funded long")
     d = audit.disparity(groups, min_funded=800).first()
     assert d["score_vs_outcome_correlation"] is None and d["default_if_funded_min"] is None
+
+
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_exact_percentiles_equal_numpy(spark, monkeypatch, bucketed):
+    """Distributed exact quantiles equal numpy 'linear' and Spark's percentile,
+    with ties, a single-value group and an all-null group."""
+    from ledgerlake.functions.quantiles import exact_percentiles
+
+    if bucketed:
+        monkeypatch.setattr(windows, "SINGLE_TASK_ROWS", 0)
+    rng = np.random.default_rng(4)
+    a = np.round(rng.normal(size=700), 1)  # many ties
+    b = rng.uniform(size=301)
+    rows = [("a", float(x)) for x in a] + [("b", float(x)) for x in b] + [("c", 3.5)] + [("d", None)] * 3
+    df = spark.createDataFrame(rows, "g string, x double")
+    probs = [0.0, 0.25, 0.5, 0.7, 0.995, 1.0]
+    got = {(r["g"], r["prob"]): r["q"] for r in exact_percentiles(df, "x", probs, ["g"], buckets=5).collect()}
+    for g, vals in (("a", a), ("b", b), ("c", np.array([3.5]))):
+        for q in probs:
+            assert got[(g, q)] == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
+    assert not any(k[0] == "d" for k in got)
+    spark_p = df.groupBy("g").agg(F.percentile("x", F.lit(0.7)).alias("p")).collect()
+    for r in spark_p:
+        if r["p"] is not None:
+            assert got[(r["g"], 0.7)] == r["p"]
+    whole = {r["prob"]: r["q"] for r in exact_percentiles(df, "x", [0.5], buckets=5).collect()}
+    allv = np.concatenate([a, b, [3.5]])
+    assert whole[0.5] == pytest.approx(float(np.quantile(allv, 0.5)), abs=1e-12)
