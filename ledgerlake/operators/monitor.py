@@ -81,14 +81,19 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns, batch: str
         (F.col("cum_w_n") / n_ref * F.col("value") - F.col("cum_w_m") / n_ref).alias("H"),
     ))
 
-    # production intervals: per (column, month) the CDF level k and next point
-    in_month = Window.partitionBy("column", batch).orderBy("value")
+    # production intervals: per (column, month) the CDF level k, the rank of
+    # each distinct value and the next value (rank + 1, an equi-join). The
+    # running sums are range-bucketed, so a month holding most rows is not
+    # ordered in one task.
     totals = cur_n.groupBy(batch, "column").agg(F.sum("n").alias("Nb"))
-    intervals = cur_n.join(totals, [batch, "column"]).select(
+    ranked = cut_lineage(running_sums(cur_n.withColumn("one", F.lit(1).cast("long")), ["value"], ["n", "one"],
+                                      [batch, "column"]))
+    following = ranked.select(batch, "column", (F.col("cum_one") - 1).alias("cum_one"), F.col("value").alias("nxt"))
+    intervals = ranked.join(totals, [batch, "column"]).join(following, [batch, "column", "cum_one"], "left").select(
         batch, "column", "value",
-        (F.sum("n").over(in_month.rowsBetween(Window.unboundedPreceding, Window.currentRow)) / F.col("Nb")).alias("k"),
-        F.lead("value").over(in_month).alias("nxt"),
-        (F.row_number().over(in_month) == 1).alias("is_first"),
+        (F.col("cum_n") / F.col("Nb")).alias("k"),
+        "nxt",
+        (F.col("cum_one") == 1).alias("is_first"),
     )
     h = points.select("column", "value", "H")
     intervals = cut_lineage(

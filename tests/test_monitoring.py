@@ -87,7 +87,12 @@ def js_distance(ref, cur):
     return math.sqrt((kl(p) + kl(q)) / 2)
 
 
-def test_numeric_drift_matches_brute_force(spark):
+@pytest.mark.parametrize("bucketed", [False, True])
+def test_numeric_drift_matches_brute_force(spark, monkeypatch, bucketed):
+    if bucketed:  # every group split into value ranges, as a hot month would be
+        from ledgerlake.functions import windows
+
+        monkeypatch.setattr(windows, "SINGLE_TASK_ROWS", 0)
     rng = np.random.default_rng(1)
     ref = np.round(rng.normal(50, 10, 500), 1)
     months = {"2016-01": np.round(rng.normal(50, 10, 120), 1), "2016-02": np.round(rng.normal(60, 15, 80), 1),
