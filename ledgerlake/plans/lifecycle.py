@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerlake import config as C
 from ledgerlake.functions.features import applications_to_loans, credit_policy_columns, derive_features
 from ledgerlake.operators import contract, labels, models, monitor, policy, splits
-from ledgerlake.sources.loan_store import loan_table
+from ledgerlake.sources.loan_store import loan_table, loan_window
 
 
 @dataclass
@@ -41,9 +41,13 @@ class Decider:
 
 def train_and_evaluate(spark: SparkSession, sf_dir: str, p: C.Params = C.DEFAULT, family: str = "gbt",
                        run_cv: bool = True) -> dict:
-    raw = loan_table(spark, sf_dir)
-    prepared = labels.transform(raw, p)
-    train, validation, test = (splits.split_part(prepared, n, p) for n in ("train", "validation", "test"))
+    labels.assert_statuses_classified(loan_table(spark, sf_dir))  # C-1 over all rows
+
+    def part(name):  # each split reads only its own issue months
+        w = p.split_windows()[name]
+        return splits.split_part(labels.transform(loan_window(spark, sf_dir, w.start, w.end), p, check_statuses=False), name, p)
+
+    train, validation, test = (part(n) for n in ("train", "validation", "test"))
     contract.validate(train)
     contract.check_missingness(train)
 
@@ -105,10 +109,11 @@ def credit_policy_columns_if_needed(df: DataFrame) -> DataFrame:
 
 def run_monitoring(spark: SparkSession, sf_dir: str, decider: Decider, p: C.Params = C.DEFAULT) -> dict:
     """3.3: all months in one job keyed by batch."""
-    raw = loan_table(spark, sf_dir)
-    train = splits.split_part(labels.transform(raw, p, check_statuses=False), "train", p)
+    tw, pw = p.split_windows()["train"], p.production
+    train = splits.split_part(labels.transform(loan_window(spark, sf_dir, tw.start, tw.end), p, check_statuses=False),
+                              "train", p)
     reference = decider.decide(train)
-    current = decider.decide(labels.production_frame(raw, p))
+    current = decider.decide(labels.production_frame(loan_window(spark, sf_dir, pw.start, pw.end), p))
     numeric, categorical = C.monitored_columns()
     inputs = numeric + categorical
     drift = monitor.numeric_drift(reference, current, numeric + [C.PREDICTION_COLUMN]).unionByName(

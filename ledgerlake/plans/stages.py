@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import config as C
 from ledgerlake.operators import labels, policy, splits
-from ledgerlake.sources.loan_store import loan_table
+from ledgerlake.sources.loan_store import loan_table, loan_window
 
 
 def closed_form_score(prefix: str = "") -> Column:
@@ -55,8 +55,18 @@ class Stages:
     def with_split(self) -> DataFrame:
         return splits.assign_split(self.prepared, self.p)
 
+    def raw_window(self, start: str, end: str) -> DataFrame:
+        """Raw loans of the issue months in [start, end] (partition pruned)."""
+        return loan_window(self.spark, self.sf_dir, start, end)
+
     def part(self, name: str) -> DataFrame:
-        return splits.split_part(self.prepared, name, self.p)
+        """One split. The C-1 guard runs once over all rows (``prepared``);
+        the split itself reads only the months of its window."""
+        if self.check_statuses:
+            self.prepared  # noqa: B018 -- runs the guard once
+        w = self.p.split_windows()[name]
+        windowed = labels.transform(self.raw_window(w.start, w.end), self.p, check_statuses=False)
+        return splits.split_part(windowed, name, self.p)
 
     @cached_property
     def train(self) -> DataFrame:
@@ -76,7 +86,8 @@ class Stages:
 
     @cached_property
     def production(self) -> DataFrame:
-        return labels.production_frame(self.raw, self.p)
+        w = self.p.production
+        return labels.production_frame(self.raw_window(w.start, w.end), self.p)
 
     # --- fitted statistics (driver gets numbers only) ---------------------
 

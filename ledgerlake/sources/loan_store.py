@@ -6,6 +6,13 @@ does with its ingest stage, the view is written once as a parquet table in
 the shared folder named by ``spark.checkpoint.dir`` and every later read is a
 column-pruned, predicate-pushed parquet scan. The write also cuts the lineage,
 so a lost executor never forces the four-way join to be recomputed.
+
+The table is partitioned by issue month (``issue_ym`` = 'yyyy-MM', parsed with
+the same pattern as ``issue_date``). Every split and the monitoring window are
+date ranges, so ``loan_window`` adds the matching month range as a partition
+filter: the test year reads its own twelve folders, not the whole table. Rows
+whose month cannot be parsed land in the null partition, which every window
+keeps, so the strict date parse downstream still sees (and rejects) them.
 """
 
 from __future__ import annotations
@@ -14,21 +21,45 @@ import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.session import session_folder
 from ledgerlake.sources.tables import loans
 
+MONTH_COL = "issue_ym"
+
 _LOCK = threading.Lock()
 _WRITTEN: dict[tuple[str, str], str] = {}
 
 
-def loan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written table, partition column included."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         path = _WRITTEN.get(key)
         if path is None:
             tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
             path = session_folder(spark, f"loans-{tag}")
-            loans(spark, sf_dir).write.mode("overwrite").parquet(path)
+            raw = loans(spark, sf_dir)
+            month = F.date_format(F.try_to_date(F.col("issue_d"), "MMM-yyyy"), "yyyy-MM")
+            # No repartition on the month: each task writes the months it holds,
+            # so a month with most of the rows is still written by every task.
+            raw.withColumn(MONTH_COL, month).write.mode("overwrite").partitionBy(MONTH_COL).parquet(path)
             _WRITTEN[key] = path
-    return spark.read.parquet(path)
+    # The month is text; inference must not turn it into anything else.
+    schema = spark.read.parquet(path).schema
+    return spark.read.schema(schema.add(MONTH_COL, "string") if MONTH_COL not in schema.names else schema).parquet(path)
+
+
+def loan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All loans (the raw columns only)."""
+    return _stored(spark, sf_dir).drop(MONTH_COL)
+
+
+def loan_window(spark: SparkSession, sf_dir: str, start: str, end: str) -> DataFrame:
+    """Loans whose issue month lies in [start, end] ('yyyy-MM-dd' bounds),
+    plus unparseable months. A superset of the date filter the caller still
+    applies, evaluated on partition values only."""
+    m = F.col(MONTH_COL)
+    keep = m.between(F.lit(start[:7]), F.lit(end[:7])) | m.isNull()
+    return _stored(spark, sf_dir).filter(keep).drop(MONTH_COL)
