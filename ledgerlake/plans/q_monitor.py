@@ -17,6 +17,7 @@ from ledgerlake.plans.q_policy import policy_ctes
 from ledgerlake.plans.q_profile import decided_cte, production_cte
 from ledgerlake.plans.registry import ratio, register
 from ledgerlake.plans.stages import Stages, add_scores
+from ledgerlake.sources.loan_store import stage_table
 
 P = C.DEFAULT
 NUMERIC, CATEGORICAL = C.monitored_columns()
@@ -32,11 +33,15 @@ class Monitoring:
 
     @cached_property
     def reference(self):
-        return add_scores(self.st.train)
+        """The scored train split, written once (read by four drift/quality jobs)."""
+        return stage_table(self.st.spark, self.st.sf_dir, "reference", lambda: add_scores(self.st.train))
 
     @cached_property
     def current(self):
-        return self.st.decided(self.st.production)
+        """S-4: the scored and decided production window written once,
+        partitioned by month (``batch``); every monitoring job reads it."""
+        return stage_table(self.st.spark, self.st.sf_dir, "batches",
+                           lambda: self.st.decided(self.st.production), partition_by="batch")
 
     @cached_property
     def drift(self):

@@ -28,7 +28,7 @@ from ledgerlake.sources.tables import loans
 
 MONTH_COL = "issue_ym"
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()  # stage builds read the loan table under the same lock
 _WRITTEN: dict[tuple[str, str], str] = {}
 
 
@@ -63,3 +63,25 @@ def loan_window(spark: SparkSession, sf_dir: str, start: str, end: str) -> DataF
     m = F.col(MONTH_COL)
     keep = m.between(F.lit(start[:7]), F.lit(end[:7])) | m.isNull()
     return _stored(spark, sf_dir).filter(keep).drop(MONTH_COL)
+
+
+def stage_table(spark: SparkSession, sf_dir: str, name: str, build, partition_by: str | None = None) -> DataFrame:
+    """A derived stage (e.g. the scored monthly batches) written once per
+    application next to the loan table and read back by every later query.
+    ``build`` is called only on the first request. A partition column is read
+    back as text."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    with _LOCK:
+        path = _WRITTEN.get(key)
+        if path is None:
+            tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
+            path = session_folder(spark, f"{name}-{tag}")
+            writer = build().write.mode("overwrite")
+            (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+            _WRITTEN[key] = path
+    schema = spark.read.parquet(path).schema
+    if partition_by:
+        from pyspark.sql.types import StringType, StructField, StructType
+
+        schema = StructType([f for f in schema.fields if f.name != partition_by] + [StructField(partition_by, StringType())])
+    return spark.read.schema(schema).parquet(path)
