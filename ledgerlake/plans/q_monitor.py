@@ -45,9 +45,14 @@ class Monitoring:
 
     @cached_property
     def drift(self):
-        num = monitor.numeric_drift(self.reference, self.current, NUMERIC_WITH_PRED)
-        cat = monitor.categorical_drift(self.reference, self.current, CATEGORICAL)
-        return num.unionByName(cat)
+        """All (batch, column) drift values, written once per application: the
+        summaries and every alert query read this table."""
+        def build():
+            num = monitor.numeric_drift(self.reference, self.current, NUMERIC_WITH_PRED)
+            cat = monitor.categorical_drift(self.reference, self.current, CATEGORICAL)
+            return num.unionByName(cat)
+
+        return stage_table(self.st.spark, self.st.sf_dir, "drift", build)
 
     @cached_property
     def missing(self):
