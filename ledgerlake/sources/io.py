@@ -67,9 +67,15 @@ def write_partitioned(df: DataFrame, path: str, by: str) -> None:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
-def write_report(df: DataFrame, path: str) -> None:
-    """S-5: a tidy report table as JSON lines (small tables: one file)."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+# Reports up to this many rows are written as one file.
+REPORT_SINGLE_FILE_ROWS = 100_000
+
+
+def write_report(df: DataFrame, path: str, single_file_rows: int = REPORT_SINGLE_FILE_ROWS) -> None:
+    """S-5: a tidy report table as JSON lines. One file only when the table is
+    proven small (counted first); a larger table keeps its partitions."""
+    small = df.limit(single_file_rows + 1).count() <= single_file_rows
+    (df.coalesce(1) if small else df).write.mode("overwrite").json(path)
 
 
 # --- S-6 decision bundle ---------------------------------------------------------------

@@ -100,3 +100,17 @@ def test_streaming_monthly_summary(spark):
     q.awaitTermination(120)
     got = {r["batch"]: r for r in spark.sql("SELECT * FROM live_summary_test").collect()}
     assert got["2016-01"]["loans"] == 2 and got["2016-01"]["fund_rate"] == 0.5 and got["2016-02"]["loans"] == 1
+
+
+def test_write_report_single_file_only_when_small(spark, tmp_path):
+    import glob
+
+    from ledgerlake.sources import io
+
+    df = spark.range(40).repartition(4).selectExpr("id", "id * 2 AS twice")
+    io.write_report(df, str(tmp_path / "small"))
+    assert len(glob.glob(str(tmp_path / "small" / "part-*"))) == 1
+    io.write_report(df, str(tmp_path / "big"), single_file_rows=10)
+    assert len(glob.glob(str(tmp_path / "big" / "part-*"))) > 1
+    back = spark.read.json(str(tmp_path / "big"))
+    assert back.count() == 40 and back.agg({"twice": "sum"}).first()[0] == 2 * sum(range(40))
