@@ -4,7 +4,13 @@ Scored production files arrive in a folder (one or more parquet files per
 month). A streaming query keeps the per-month summary (loans, fund rate,
 mean probability, outcome coverage) in update mode; ``foreachBatch`` runs the
 batch drift/quality operators against the fixed reference for the months that
-changed in each micro-batch and appends their alerts.
+changed in each micro-batch.
+
+Both sinks are parquet folders whose partitions are replaced (dynamic
+overwrite): the summary by month, the drift tables by micro-batch id. A
+micro-batch that is retried after a lost executor or a restart rewrites the
+same partitions instead of appending duplicates, and no result is kept on the
+driver.
 
 ``window(ts, '1 month')`` is not accepted by Spark (months have no fixed
 length), so the month key ``batch`` is the grouping key, as in the batch job.
@@ -16,8 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pyspark import StorageLevel
+
 from ledgerlake import config as C
 from ledgerlake.operators import monitor
+from ledgerlake.sources.io import write_partitioned
 
 
 def monthly_stream(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
@@ -31,12 +40,18 @@ def monthly_stream(spark: SparkSession, folder: str, schema: StructType) -> Data
     )
 
 
-def start_summary(spark: SparkSession, folder: str, schema: StructType, checkpoint: str,
-                  table: str = "monthly_summary_live", trigger_once: bool = True):
-    """Run the summary into a memory table (update mode)."""
+def start_summary(spark: SparkSession, folder: str, schema: StructType, checkpoint: str, sink_path: str,
+                  trigger_once: bool = True):
+    """Run the summary in update mode: each micro-batch's updated months
+    replace their ``batch`` partitions under ``sink_path``, so the folder
+    always holds the latest value per month."""
+
+    def process(updated: DataFrame, batch_id: int) -> None:
+        write_partitioned(updated, sink_path, "batch")
+
     writer = (
         monthly_stream(spark, folder, schema).writeStream.outputMode("update")
-        .format("memory").queryName(table).option("checkpointLocation", checkpoint)
+        .foreachBatch(process).option("checkpointLocation", checkpoint)
     )
     writer = writer.trigger(availableNow=True) if trigger_once else writer.trigger(processingTime="1 minute")
     return writer.start()
@@ -45,21 +60,26 @@ def start_summary(spark: SparkSession, folder: str, schema: StructType, checkpoi
 def start_drift(spark: SparkSession, folder: str, schema: StructType, reference: DataFrame, checkpoint: str,
                 sink_path: str, trigger_once: bool = True):
     """Per micro-batch: drift and data-quality tables for the months present,
-    appended as parquet under ``sink_path`` (idempotent per batch id)."""
+    written under ``sink_path`` partitioned by ``batch_id`` (a retried batch
+    replaces its own partition)."""
     numeric, categorical = C.monitored_columns()
     inputs = numeric + categorical
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
-        num = monitor.numeric_drift(reference, batch_df, numeric + [C.PREDICTION_COLUMN])
-        cat = monitor.categorical_drift(reference, batch_df, categorical)
-        drift = num.unionByName(cat).withColumn("batch_id", F.lit(batch_id))
-        drift.write.mode("append").parquet(f"{sink_path}/drift")
-        miss = monitor.missing_increase(reference, batch_df, inputs).withColumn("batch_id", F.lit(batch_id))
-        miss.write.mode("append").parquet(f"{sink_path}/missing")
-        new = monitor.new_categories(reference, batch_df, categorical).withColumn("batch_id", F.lit(batch_id))
-        new.write.mode("append").parquet(f"{sink_path}/new_categories")
+        rows = batch_df.persist(StorageLevel.MEMORY_AND_DISK)  # read by four jobs; recomputable from the files
+        try:
+            num = monitor.numeric_drift(reference, rows, numeric + [C.PREDICTION_COLUMN])
+            cat = monitor.categorical_drift(reference, rows, categorical)
+            tag = F.lit(batch_id).cast("long")
+            write_partitioned(num.unionByName(cat).withColumn("batch_id", tag), f"{sink_path}/drift", "batch_id")
+            write_partitioned(monitor.missing_increase(reference, rows, inputs).withColumn("batch_id", tag),
+                              f"{sink_path}/missing", "batch_id")
+            write_partitioned(monitor.new_categories(reference, rows, categorical).withColumn("batch_id", tag),
+                              f"{sink_path}/new_categories", "batch_id")
+        finally:
+            rows.unpersist()
 
     stream = spark.readStream.schema(schema).parquet(folder)
     writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
