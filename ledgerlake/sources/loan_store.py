@@ -22,6 +22,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlake.session import session_folder
 from ledgerlake.sources.tables import loans
@@ -29,26 +30,40 @@ from ledgerlake.sources.tables import loans
 MONTH_COL = "issue_ym"
 
 _LOCK = threading.RLock()  # stage builds read the loan table under the same lock
-_WRITTEN: dict[tuple[str, str], str] = {}
+# (application id, folder, table) -> (path, schema). The schema is the one
+# written (partition column last, as text): reads neither list the folder
+# again nor infer the partition column's type.
+_WRITTEN: dict[tuple[str, ...], tuple[str, StructType]] = {}
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written table, partition column included."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+def _write_once(spark: SparkSession, sf_dir: str, name: str, build, partition_by: str | None) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _LOCK:
-        path = _WRITTEN.get(key)
-        if path is None:
+        hit = _WRITTEN.get(key)
+        if hit is None:
             tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
-            path = session_folder(spark, f"loans-{tag}")
-            raw = loans(spark, sf_dir)
-            month = F.date_format(F.try_to_date(F.col("issue_d"), "MMM-yyyy"), "yyyy-MM")
-            # No repartition on the month: each task writes the months it holds,
-            # so a month with most of the rows is still written by every task.
-            raw.withColumn(MONTH_COL, month).write.mode("overwrite").partitionBy(MONTH_COL).parquet(path)
-            _WRITTEN[key] = path
-    # The month is text; inference must not turn it into anything else.
-    schema = spark.read.parquet(path).schema
-    return spark.read.schema(schema.add(MONTH_COL, "string") if MONTH_COL not in schema.names else schema).parquet(path)
+            path = session_folder(spark, f"{name}-{tag}")
+            df = build()
+            writer = df.write.mode("overwrite")
+            (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+            fields = [f for f in df.schema.fields if f.name != partition_by]
+            if partition_by:
+                fields.append(StructField(partition_by, StringType()))
+            hit = _WRITTEN[key] = (path, StructType(fields))
+    path, schema = hit
+    return spark.read.schema(schema).parquet(path)
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written loan table, partition column included."""
+
+    def build():
+        month = F.date_format(F.try_to_date(F.col("issue_d"), "MMM-yyyy"), "yyyy-MM")
+        # No repartition on the month: each task writes the months it holds,
+        # so a month with most of the rows is still written by every task.
+        return loans(spark, sf_dir).withColumn(MONTH_COL, month)
+
+    return _write_once(spark, sf_dir, "loans", build, MONTH_COL)
 
 
 def loan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,18 +85,4 @@ def stage_table(spark: SparkSession, sf_dir: str, name: str, build, partition_by
     application next to the loan table and read back by every later query.
     ``build`` is called only on the first request. A partition column is read
     back as text."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    with _LOCK:
-        path = _WRITTEN.get(key)
-        if path is None:
-            tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
-            path = session_folder(spark, f"{name}-{tag}")
-            writer = build().write.mode("overwrite")
-            (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-            _WRITTEN[key] = path
-    schema = spark.read.parquet(path).schema
-    if partition_by:
-        from pyspark.sql.types import StringType, StructField, StructType
-
-        schema = StructType([f for f in schema.fields if f.name != partition_by] + [StructField(partition_by, StringType())])
-    return spark.read.schema(schema).parquet(path)
+    return _write_once(spark, sf_dir, name, build, partition_by)
