@@ -64,14 +64,19 @@ def test_disparity_undefined_correlation_is_null(spark):
     assert d["score_vs_outcome_correlation"] is None and d["default_if_funded_min"] is None
 
 
-@pytest.mark.parametrize("bucketed", [False, True])
-def test_exact_percentiles_equal_numpy(spark, monkeypatch, bucketed):
+@pytest.mark.parametrize("mode", ["single_task", "bucketed", "many_groups"])
+def test_exact_percentiles_equal_numpy(spark, monkeypatch, mode):
     """Distributed exact quantiles equal numpy 'linear' and Spark's percentile,
-    with ties, a single-value group and an all-null group."""
+    with ties, a single-value group and an all-null group; also when there are
+    more groups than the broadcast bound (shuffle join, plain windows)."""
+    from ledgerlake.functions import quantiles
     from ledgerlake.functions.quantiles import exact_percentiles
 
-    if bucketed:
+    if mode == "bucketed":
         monkeypatch.setattr(windows, "SINGLE_TASK_ROWS", 0)
+    if mode == "many_groups":
+        monkeypatch.setattr(windows, "MAX_GROUPS", 1)
+        monkeypatch.setattr(quantiles, "MAX_GROUPS", 1)
     rng = np.random.default_rng(4)
     a = np.round(rng.normal(size=700), 1)  # many ties
     b = rng.uniform(size=301)
