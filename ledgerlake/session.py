@@ -15,9 +15,17 @@ BROADCAST_MAX_ROWS = 100_000
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerlake") -> SparkSession:
-    """A local session configured the way the library expects (tests, bench)."""
+    """A local session configured the way the library expects (tests, bench).
+
+    ``LEDGERLAKE_EVENT_LOG=<folder>`` writes Spark's event log there (stage
+    and task times for profiling; the web UI stays off)."""
+    builder = SparkSession.builder
+    event_dir = os.environ.get("LEDGERLAKE_EVENT_LOG")
+    if event_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_dir)
+                   .config("spark.eventLog.compress", "false"))
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
