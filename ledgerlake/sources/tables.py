@@ -52,6 +52,16 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_type")
 
+    # Hash-partition the fact side on the orders join key. At scale this is
+    # the exchange the sort-merge join with ``orders`` needs anyway (same key,
+    # same count, so Catalyst adds no second one); when the dimensions are
+    # broadcast instead, it still spreads the derive-and-write pipeline over
+    # many tasks even if the input file is a single split. An explicit count
+    # keeps AQE from coalescing it back into one task. l_orderkey has a few
+    # lines per key: no hot key.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    li = li.repartition(n, "l_orderkey")
+
     j = (
         li.join(orders, li.l_orderkey == orders.o_orderkey)
         .join(customer, F.col("o_custkey") == customer.c_custkey)
