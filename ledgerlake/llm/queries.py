@@ -8,12 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import (
+    chat_repair,
     decontaminate,
+    hpy_model,
     line_runs,
     near_duplicates,
     quality_ledger,
     secret_scan,
     sentencepiece_codec,
+    toxicity,
     url_rules,
 )
 from ledgerlake.llm.common import table
@@ -39,11 +42,19 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(table(spark, sf_dir, "conversations"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_digests(
         table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classify(table(spark, sf_dir, "documents"))
 
@@ -62,12 +73,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         q.rejects(bits, q.BASE).alias("base_failed"), (~q.rejects(bits)).alias("kept"), "failed_rules")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpy_model.score(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_secret_scan, op2_line_dedup, op4_sentencepiece, op6_near_dedup, op7_url_filter, op8_quality_rules, op10_decontamination)
+        op1_secret_scan, op2_line_dedup, op3_chat_formatting, op4_sentencepiece, op5_toxicity, op6_near_dedup, op7_url_filter, op8_quality_rules, op9_lm_scoring,
+        op10_decontamination)
 }
 ORACLES: dict[str, str] = {}
