@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ASCII_SPACE, batch_columns, bounded_batches, fresh_name, stage_folder
+from ledgerlake.llm.common import ASCII_SPACE, batch_columns, bounded_batches, fresh_name, stage_folder, stored
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -136,6 +136,7 @@ def with_drops(docs: DataFrame, name: str, min_docs: int = MIN_DOCS, batches: in
     for batch in in_batches(docs.select("doc_id", "text"), batches):
         runs.add(batch)
     repeated = runs.merged().filter((F.col("n_docs") >= min_docs) & F.col("last_doc").isNotNull())
+    repeated = stored(repeated, "repeated-lines")  # a plain shuffle on this side lets AQE split a hot line on the other
     held = line_keys(docs).join(repeated.select("h", "last_doc").hint("merge"), "h")
     held = held.filter(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last_doc")))
     drops = held.groupBy(F.col("doc_id").alias("_drop_id")).agg(F.collect_set("h").alias(name))
