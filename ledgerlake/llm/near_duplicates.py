@@ -14,8 +14,11 @@ Jaccard similarity is at least ``min_pct`` percent.
    + 1) by corpus frequency go to the inverted lists, and frequent passages
    drop out.
 3. Lists give pairs. Each list first links its documents to one or two of them
-   (a star, not all pairs); what is connected by then needs no more pairs, and
-   the lists that still hold several components give their remaining pairs.
+   (a star, not all pairs); what is connected by then needs no more pairs. The
+   documents of lists that still hold several components are indexed anew by
+   their whole sets, each by its rarest shingles only (a linked pair shares one
+   of them for certain), and these lists give the pairs between components: a
+   passage that many different documents share gives none.
 4. The union sketch (the K smallest values of both sketches) estimates the
    similarity; pairs below the bound of step 2 go.
 5. The rest is verified on the full sets of words. Verified links give the
@@ -31,6 +34,7 @@ import hashlib
 import math
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +47,7 @@ MIN_PCT = 85
 K = 64
 #: Chance that one linked pair shares fewer values than assumed.
 RISK = 1e-9
-#: Star rounds before the remaining pairs of a list are all taken.
+#: Star rounds before the remaining pairs are taken from whole sets.
 STAR_ROUNDS = 2
 #: Word hashes kept by a Python worker.
 WORD_MEMO = 500_000
@@ -122,18 +126,45 @@ def features(docs: DataFrame, size: int) -> DataFrame:
                          {"n": "bigint", "digest": "binary", "sketch": "array<bigint>"})
 
 
-def _lists(reps: DataFrame, pct: int) -> DataFrame:
-    """(v, node, n): the inverted lists of the rarest retained values."""
-    held = reps.select("node", "n", F.explode("sketch").alias("v"))
+def _prefixes(held: DataFrame, least) -> DataFrame:
+    """(v, node, n): the inverted lists of each node's rarest values. ``held``:
+    (node, n, v); a linked pair shares at least ``least`` values of either."""
     counts = held.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     own = held.join(counts, "v").groupBy("node", "n").agg(
         F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"))
-    least = F.least(F.ceil(F.col("n") * F.lit(pct) / F.lit(100.0)), F.lit(least_shared(K, pct))).cast("int")
-    first = F.size("vs") - least + 1  # the values that no other document holds come before these
+    first = F.size("vs") - least.cast("int") + 1  # the values that no other document holds come before these
     return own.filter(first > 0).select(F.explode(F.slice("vs", F.lit(1), first)).alias("x"), "node", "n").select(
         F.col("x.v").alias("v"), "node", "n")
 
 
+def _least_of(pct: int):
+    return F.ceil(F.col("n") * F.lit(pct) / F.lit(100.0))
+
+
+def _lists(reps: DataFrame, pct: int) -> DataFrame:
+    """The inverted lists of retained values."""
+    held = reps.select("node", "n", F.explode("sketch").alias("v"))
+    return _prefixes(held, F.least(_least_of(pct), F.lit(least_shared(K, pct))))
+
+
+def _whole_lists(nodes: DataFrame, texts: DataFrame, size: int, pct: int) -> DataFrame:
+    """The inverted lists of some nodes' whole sets."""
+
+    def run(batches):
+        hashes = _Hashes()
+        for b in batches:
+            sets = [hashed_set(words_of(t), size, hashes) for t in b.column(1).to_pylist()]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            rows = np.repeat(np.arange(len(sets)), sizes)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(rows)), pa.array(sizes[rows]),
+                 pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64))], names=["node", "n", "v"])
+
+    picked = texts.join(nodes.select(F.col("node").alias("rid")), "rid").select(F.col("rid").alias("node"), "text")
+    held = stored(picked.mapInArrow(run, "node bigint, n bigint, v bigint"), "near-whole-sets")
+    return _prefixes(held, _least_of(pct))
+
+
 def _verified(pairs: DataFrame, reps: DataFrame, texts: DataFrame, size: int, pct: int) -> DataFrame:
     """The pairs (a, b) that the union sketch lets through and the full sets
     confirm."""
@@ -213,7 +244,11 @@ def labelled(docs: DataFrame, size: int = SHINGLE_WORDS, pct: int = MIN_PCT) ->
     edges = tested = comps = None
     for turn in range(STAR_ROUNDS + 1):
         mixed = _labelled(lists, comps)
-        pairs = _star_pairs(mixed, turn) if turn < STAR_ROUNDS else _rest_pairs(mixed, pct)
+        if turn < STAR_ROUNDS:
+            pairs = _star_pairs(mixed, turn)
+        else:
+            whole = stored(_whole_lists(mixed.select("node").distinct(), texts, size, pct), "near-whole-lists")
+            pairs = _rest_pairs(_labelled(whole, comps), pct)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "near-pairs")
