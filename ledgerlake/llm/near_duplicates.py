@@ -13,8 +13,8 @@ Jaccard similarity is at least ``min_pct`` percent.
    of the rarest values of each sketch: only the first (values - least shared
    + 1) by corpus frequency go to the inverted lists, and frequent passages
    drop out.
-3. Lists give pairs. Each list first links its documents to one or two of them
-   (a star, not all pairs); what is connected by then needs no more pairs. The
+3. Lists give pairs. Each list first links its documents to two of them (stars,
+   not all pairs); what is connected by then needs no more pairs. The
    documents of lists that still hold several components are indexed anew by
    their whole sets, each by its rarest shingles only (a linked pair shares one
    of them for certain), and these lists give the pairs between components: a
@@ -48,7 +48,7 @@ K = 64
 #: Chance that one linked pair shares fewer values than assumed.
 RISK = 1e-9
 #: Star rounds before the remaining pairs are taken from whole sets.
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 #: Word hashes kept by a Python worker.
 WORD_MEMO = 500_000
 _MIX = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64)) for i in range(64)]
@@ -127,14 +127,17 @@ def features(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _prefixes(held: DataFrame, least) -> DataFrame:
-    """(v, node, n): the inverted lists of each node's rarest values. ``held``:
-    (node, n, v); a linked pair shares at least ``least`` values of either."""
+    """(v, node, n, rest, hub): the inverted lists of each node's rarest
+    values. ``held``: (node, n, v); a linked pair shares at least ``least``
+    values of either. ``rest``: values of the node from v on that others hold
+    too; ``hub``: how common its values are."""
     counts = held.groupBy("v").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     own = held.join(counts, "v").groupBy("node", "n").agg(
-        F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"))
+        F.sort_array(F.collect_list(F.struct("c", "v"))).alias("vs"), (F.sum("c") / F.col("n")).alias("hub"))
     first = F.size("vs") - least.cast("int") + 1  # the values that no other document holds come before these
-    return own.filter(first > 0).select(F.explode(F.slice("vs", F.lit(1), first)).alias("x"), "node", "n").select(
-        F.col("x.v").alias("v"), "node", "n")
+    return own.filter(first > 0).select(
+        "node", "n", "hub", F.size("vs").alias("m"), F.posexplode(F.slice("vs", F.lit(1), first)).alias("at", "x")
+    ).select(F.col("x.v").alias("v"), "node", "n", (F.col("m") - F.col("at")).alias("rest"), "hub")
 
 
 def _least_of(pct: int):
@@ -217,17 +220,25 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _star_pairs(lists: DataFrame, turn: int) -> DataFrame:
+    """Each list's documents with the one whose values are the most common
+    (the least edited of near copies), and with one picked by a hash."""
     heads = lists.groupBy("v").agg(
-        F.min("node").alias("p"), F.min_by("node", F.xxhash64("node", "v", F.lit(turn))).alias("q"))
+        F.max_by("node", "hub").alias("p"), F.min_by("node", F.xxhash64("node", "v", F.lit(turn))).alias("q"))
     met = lists.join(heads, "v").select("comp", F.col("node").alias("x"), F.explode(F.array("p", "q")).alias("y"))
     return _ordered(met.filter("x != y"))
 
 
 def _rest_pairs(lists: DataFrame, pct: int) -> DataFrame:
-    left = lists.select("v", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    right = lists.select("v", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
+    """The pairs between components whose sets can be similar enough: from
+    the first value that two sets share on, either must hold as many values as
+    the pair has to share."""
+    left = lists.select("v", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"),
+                        F.col("rest").alias("rx"))
+    right = lists.select("v", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"),
+                         F.col("rest").alias("ry"))
     sized = (100 * F.col("nx") >= pct * F.col("ny")) & (100 * F.col("ny") >= pct * F.col("nx"))
-    return _ordered(left.join(right, "v").filter((F.col("cx") < F.col("cy")) & sized))
+    enough = (100 + pct) * F.least("rx", "ry") >= pct * (F.col("nx") + F.col("ny"))
+    return _ordered(left.join(right, "v").filter((F.col("cx") < F.col("cy")) & sized & enough))
 
 
 def labelled(docs: DataFrame, size: int = SHINGLE_WORDS, pct: int = MIN_PCT) -> tuple[DataFrame, DataFrame]:
