@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import fresh_name
+from ledgerlake.llm.common import fresh_name, stored
 
 SPACES = " \t\n\x0b\x0c\r"
 GAP = "[\\x20\\x09-\\x0D]+"
@@ -124,10 +124,13 @@ def rejects(bits: Column, version: int = CURRENT) -> Column:
 
 
 def keep(docs: DataFrame, version: int = CURRENT) -> DataFrame:
-    """The rows of ``docs`` (all columns, unchanged) that the policy keeps."""
-    m = fresh_name(docs, "_measured")
-    df = measure(docs, m).filter(~rejects(_bits(F.col(m)), version))
-    return df.drop(m)
+    """The rows of ``docs`` (all columns, unchanged) that the policy keeps.
+
+    The failure bits are written beside the rows first: a filter on unwritten
+    bits would be pushed below the measurements and repeat them."""
+    m, bits = fresh_name(docs, "_measured"), fresh_name(docs, "_failed_rules")
+    marked = measure(docs, m).withColumn(bits, _bits(F.col(m))).drop(m)
+    return stored(marked, "quality-ledger").filter(~rejects(F.col(bits), version)).drop(bits)
 
 
 def ablation(rows: DataFrame, version: int = CURRENT) -> DataFrame:
