@@ -34,6 +34,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -277,8 +278,6 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` (all columns) that hold no item."""
-    import pandas as pd
-
     bounded_batches(docs.sparkSession)
 
     def test(shared) -> Column:
