@@ -89,6 +89,14 @@ def hashed_set(words: list[bytes], size: int, hashes: dict) -> np.ndarray:
     return np.unique((x ^ (x >> np.uint64(32))).view(np.int64))
 
 
+def parity_bits(hashes: np.ndarray) -> list[int]:
+    """256 bits, each the parity of the values that fall on it: two sets'
+    bits differ in no more places than their values do."""
+    at = hashes.view(np.uint64)
+    odd = (np.bincount(((at >> np.uint64(5)) & np.uint64(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
 def least_shared(k: int, pct: int, risk: float = RISK) -> int:
     """The largest t with P(Binomial(k, pct%) < t) <= risk: of the k smallest
     values of the union, a pair at the similarity bound shares t or more."""
@@ -102,7 +110,8 @@ def least_shared(k: int, pct: int, risk: float = RISK) -> int:
 
 
 def features(docs: DataFrame, size: int) -> DataFrame:
-    """rid, doc_id, text, row (the other columns, if any), n, digest, sketch."""
+    """rid, doc_id, text, row (the other columns, if any), n, digest, sketch,
+    bits."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     base = docs.select(
         F.monotonically_increasing_id().alias("rid"), "doc_id", "text",
@@ -112,18 +121,19 @@ def features(docs: DataFrame, size: int) -> DataFrame:
         hashes = _Hashes()
 
         def run(texts):
-            out = {"n": [], "digest": [], "sketch": []}
+            out = {"n": [], "digest": [], "sketch": [], "bits": []}
             for t in texts:
                 s = hashed_set(words_of(t), size, hashes)
                 out["n"].append(len(s))
                 out["digest"].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 out["sketch"].append(s[:K])
+                out["bits"].append(parity_bits(s))
             return out
 
         return run
 
     return batch_columns(base, base.columns, ["text"], make,
-                         {"n": "bigint", "digest": "binary", "sketch": "array<bigint>"})
+                         {"n": "bigint", "digest": "binary", "sketch": "array<bigint>", "bits": "array<bigint>"})
 
 
 def _prefixes(held: DataFrame, least) -> DataFrame:
@@ -231,14 +241,18 @@ def _star_pairs(lists: DataFrame, turn: int) -> DataFrame:
 def _rest_pairs(lists: DataFrame, pct: int) -> DataFrame:
     """The pairs between components whose sets can be similar enough: from
     the first value that two sets share on, either must hold as many values as
-    the pair has to share."""
+    the pair has to share; and the parity bits may not differ in more places
+    than two sets of these sizes may."""
     left = lists.select("v", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"),
-                        F.col("rest").alias("rx"))
+                        F.col("rest").alias("rx"), F.col("bits").alias("bx"))
     right = lists.select("v", F.col("node").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"),
-                         F.col("rest").alias("ry"))
+                         F.col("rest").alias("ry"), F.col("bits").alias("by"))
     sized = (100 * F.col("nx") >= pct * F.col("ny")) & (100 * F.col("ny") >= pct * F.col("nx"))
     enough = (100 + pct) * F.least("rx", "ry") >= pct * (F.col("nx") + F.col("ny"))
-    return _ordered(left.join(right, "v").filter((F.col("cx") < F.col("cy")) & sized & enough))
+    apart = sum((F.bit_count(F.col("bx")[k].bitwiseXOR(F.col("by")[k])) for k in range(1, 4)),
+                F.bit_count(F.col("bx")[0].bitwiseXOR(F.col("by")[0])))
+    close = (100 + pct) * apart <= (100 - pct) * (F.col("nx") + F.col("ny"))
+    return _ordered(left.join(right, "v").filter((F.col("cx") < F.col("cy")) & sized & enough & close))
 
 
 def labelled(docs: DataFrame, size: int = SHINGLE_WORDS, pct: int = MIN_PCT) -> tuple[DataFrame, DataFrame]:
@@ -248,7 +262,7 @@ def labelled(docs: DataFrame, size: int = SHINGLE_WORDS, pct: int = MIN_PCT) ->
     rows = stored(features(docs, size), "near-features")
     classes = stored(rows.filter("n > 0").groupBy("digest").agg(
         F.min("rid").alias("node"), F.min("doc_id").alias("first_id")), "near-classes")
-    reps = rows.select(F.col("rid").alias("node"), "n", "sketch").join(classes.select("node"), "node")
+    reps = rows.select(F.col("rid").alias("node"), "n", "sketch", "bits").join(classes.select("node"), "node")
     reps = stored(reps, "near-reps")
     texts = rows.select("rid", "text")
     lists = stored(_lists(reps, pct), "near-lists")
@@ -259,7 +273,7 @@ def labelled(docs: DataFrame, size: int = SHINGLE_WORDS, pct: int = MIN_PCT) ->
             pairs = _star_pairs(mixed, turn)
         else:
             whole = stored(_whole_lists(mixed.select("node").distinct(), texts, size, pct), "near-whole-lists")
-            pairs = _rest_pairs(_labelled(whole, comps), pct)
+            pairs = _rest_pairs(_labelled(whole, comps).join(reps.select("node", "bits"), "node"), pct)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "near-pairs")

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import fresh_name, stored
+from ledgerlake.llm.common import fresh_name
 
 SPACES = " \t\n\x0b\x0c\r"
 GAP = "[\\x20\\x09-\\x0D]+"
@@ -126,11 +126,12 @@ def rejects(bits: Column, version: int = CURRENT) -> Column:
 def keep(docs: DataFrame, version: int = CURRENT) -> DataFrame:
     """The rows of ``docs`` (all columns, unchanged) that the policy keeps.
 
-    The failure bits are written beside the rows first: a filter on unwritten
-    bits would be pushed below the measurements and repeat them."""
-    m, bits = fresh_name(docs, "_measured"), fresh_name(docs, "_failed_rules")
+    The row number makes the filter stay above the measurements; pushed below
+    them it would repeat each of them many times."""
+    m, bits, row = (fresh_name(docs, x) for x in ("_measured", "_failed_rules", "_row"))
     marked = measure(docs, m).withColumn(bits, _bits(F.col(m))).drop(m)
-    return stored(marked, "quality-ledger").filter(~rejects(F.col(bits), version)).drop(bits)
+    marked = marked.withColumn(row, F.monotonically_increasing_id())
+    return marked.filter((F.col(row) >= 0) & ~rejects(F.col(bits), version)).drop(bits, row)
 
 
 def ablation(rows: DataFrame, version: int = CURRENT) -> DataFrame:
