@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import fresh_name
+from ledgerlake.llm.common import fresh_name, stored
 
 SPACES = " \t\n\x0b\x0c\r"
 GAP = "[\\x20\\x09-\\x0D]+"
@@ -112,10 +112,13 @@ def _bits(measured: Column) -> Column:
 
 
 def ledger(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """One row per input row: the key, every measurement, ``failed_rules``."""
+    """One row per input row: the key, every measurement, ``failed_rules``.
+    Written to the shared folder (without the texts), so that policies and
+    ablations read stored bits."""
     df = measure(docs.select(key, "text"), "_measured")
     m = F.col("_measured")
-    return df.select(key, *[m[c].alias(c) for c in MEASURES], _bits(m).alias("failed_rules"))
+    rows = df.select(key, *[m[c].alias(c) for c in MEASURES], _bits(m).alias("failed_rules"))
+    return stored(rows, "quality-ledger")
 
 
 def rejects(bits: Column, version: int = CURRENT) -> Column:
