@@ -38,15 +38,22 @@ def month_date(s: Column) -> Column:
     return F.to_date(s, "MMM-yyyy")
 
 
+def try_month_date(s: Column) -> Column:
+    """P-3 on requests: the same, but malformed text gives null."""
+    return F.try_to_date(s, "MMM-yyyy")
+
+
 def positive_ratio(num: Column, den: Column) -> Column:
     """P-6/P-7 guard: the ratio only when the denominator is > 0, else null."""
     return F.when(den > 0, num / den)
 
 
-def derive_features(df: DataFrame) -> DataFrame:
-    """P-1 .. P-8 on raw loan rows (or on requests renamed by P-19)."""
-    issue_date = month_date(F.col("issue_d"))
-    earliest = month_date(F.col("earliest_cr_line"))
+def derive_features(df: DataFrame, strict_dates: bool = True) -> DataFrame:
+    """P-1 .. P-8 on raw loan rows (or on requests renamed by P-19, whose
+    malformed months are null: ``strict_dates=False``)."""
+    to_month = month_date if strict_dates else try_month_date
+    issue_date = to_month(F.col("issue_d"))
+    earliest = to_month(F.col("earliest_cr_line"))
     return df.withColumns(
         {
             "term_months": term_months(F.col("term")),
@@ -102,10 +109,11 @@ def breakeven_probability(gain: Column, funded: Column, lgd: float, prepay: floa
 
 
 def expected_installment(principal: Column, annual_rate_pct: Column, term: Column) -> Column:
-    """P-16: amortised payment P*r/(1-(1+r)^-n), P/n when r = 0."""
+    """P-16: amortised payment P*r/(1-(1+r)^-n), P/n when r = 0, null where
+    the divisor is 0 (no term)."""
     r = annual_rate_pct / F.lit(1200.0)
-    return F.when(r == 0, principal / term).otherwise(
-        principal * r / (F.lit(1.0) - F.pow(F.lit(1.0) + r, -term))
+    return F.when(r == 0, F.try_divide(principal, term)).otherwise(
+        F.try_divide(principal * r, F.lit(1.0) - F.pow(F.lit(1.0) + r, -term))
     )
 
 

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.windows import DEFAULT_BUCKETS, MAX_GROUPS, running_sums
+from ledgerlake.functions.windows import DEFAULT_BUCKETS, running_sums
 from ledgerlake.session import bounded_broadcast, cut_lineage
 
 
@@ -49,14 +49,14 @@ def exact_percentiles(df: DataFrame, value: str, probs: Sequence[float], groups:
         .select(*keys, "_p", pos.alias("_pos"))
         .select(*keys, "_p", "_pos", F.floor("_pos").alias("_lo"), F.ceil("_pos").alias("_hi"))
         .groupBy(*keys).agg(F.collect_list(F.struct("_p", "_pos", "_lo", "_hi")).alias("_t"))
-    )  # one row per group, each array len(probs) long; broadcast only if the group count is bounded
+    )  # one row per group, each array len(probs) long; broadcast behind a check of its size
 
     start, end = F.col("_cum_f") - F.col("_f"), F.col("_cum_f")  # 0-based ranks [start, end)
 
     def holds(rank):
         return (rank >= start) & (rank < end)
 
-    hit = cum.join(bounded_broadcast(targets, MAX_GROUPS), keys, "inner").select(
+    hit = cum.join(bounded_broadcast(targets), keys, "inner").select(
         *keys, "_v", F.explode(F.filter("_t", lambda t: holds(t["_lo"]) | holds(t["_hi"]))).alias("t"),
         "_f", "_cum_f",
     )

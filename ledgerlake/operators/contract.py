@@ -140,9 +140,12 @@ def application_rules(apps: DataFrame) -> list[tuple[str, Column]]:
     """(reason code, violation predicate) for request rows.
 
     Field rules come first, then the cross-field rules. Unlike a validator
-    that stops at the first error, every reason of every row is reported.
+    that stops at the first error, every reason of every row is reported. The
+    rules never fail on a row: a month that has the form of one but names none
+    has its own code, and the installment rule is silent where there is no
+    scheduled installment (a field rule has rejected such a row).
     """
-    from ledgerlake.functions.features import expected_installment
+    from ledgerlake.functions.features import expected_installment, try_month_date
 
     c = F.col
     present = lambda name: c(name).isNotNull()
@@ -168,10 +171,12 @@ def application_rules(apps: DataFrame) -> list[tuple[str, Column]]:
     for name in ("delinq_2yrs", "inq_last_6mths", "open_acc", "pub_rec", "revol_bal", "total_acc", "acc_now_delinq"):
         rules.append((name, ~(present(name) & (c(name) >= 0))))
     scheduled = expected_installment(c("loan_amnt"), c("int_rate"), c("term_months").cast("double"))
+    for name in ("application_date", "earliest_cr_line"):
+        rules.append((f"{name}_invalid", c(name).rlike(C.MONTH_PATTERN) & try_month_date(c(name)).isNull()))
     rules += [
         ("fico_range_order", c("fico_range_high") < c("fico_range_low")),
         ("addr_state_not_us", ~c("addr_state").isin(*C.US_STATES)),
-        ("installment_inconsistent", F.abs(c("installment") / scheduled - 1) > C.INSTALLMENT_TOLERANCE),
+        ("installment_inconsistent", F.abs(F.try_divide(c("installment"), scheduled) - 1) > C.INSTALLMENT_TOLERANCE),
     ]
     return rules
 

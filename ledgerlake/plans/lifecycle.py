@@ -99,7 +99,8 @@ def train_and_evaluate(spark: SparkSession, sf_dir: str, p: C.Params = C.DEFAULT
 def score_applications(apps: DataFrame, decider: Decider) -> tuple[DataFrame, DataFrame]:
     """3.2: (decisions for accepted requests, rejected requests with reasons)."""
     q = contract.quarantine(apps)
-    accepted = credit_policy_columns_if_needed(derive_features(applications_to_loans(q.filter("accepted"))))
+    accepted = credit_policy_columns_if_needed(derive_features(
+        applications_to_loans(q.filter("accepted")), strict_dates=False))
     return decider.decide(accepted), q.filter(~F.col("accepted"))
 
 

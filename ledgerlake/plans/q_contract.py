@@ -118,6 +118,8 @@ def _sql_quarantine():
     ]
     for name in ("delinq_2yrs", "inq_last_6mths", "open_acc", "pub_rec", "revol_bal", "total_acc", "acc_now_delinq"):
         rules.append((name, f"NOT ({present(name)} AND {name} >= 0)"))
+    for name in ("application_date", "earliest_cr_line"):
+        rules.append((f"{name}_invalid", f"regexp_matches({name}, '{C.MONTH_PATTERN}') AND try_strptime({name}, '%b-%Y') IS NULL"))
     rules += [
         ("fico_range_order", "fico_range_high < fico_range_low"),
         ("addr_state_not_us", f"NOT (addr_state IN ({_q(C.US_STATES)}))"),

@@ -1,24 +1,28 @@
 """Sources and sinks (S-1, S-3, S-4, S-5, S-6).
 
-* S-1: the raw loan CSV is read with an explicit schema (never inferred),
-  PERMISSIVE mode (an unparsable cell becomes null), projection to the
-  allowlist + bookkeeping columns at the source, and file-footer rows (null
-  status) dropped. ``multiLine`` keeps quoted newlines inside a record; it also
-  makes a file unsplittable, so the CSV is converted to parquet once.
+* S-1: the raw loan CSV is read with an explicit schema (types never
+  inferred), its columns taken by the name in the header, PERMISSIVE mode (an
+  unparsable cell becomes null), projection to the allowlist + bookkeeping
+  columns at the source, and file-footer rows (null status) dropped.
+  ``multiline=True`` keeps quoted newlines inside a record, but makes a file
+  unsplittable; it is off unless asked for.
 * S-3/S-4: partitioned parquet writes (``split``, ``batch``) with dynamic
   partition overwrite, so re-writing one month replaces only that month.
 * S-5: report tables as JSON lines.
 * S-6: the decision bundle -- fitted preprocessing statistics, the MLlib model,
-  the isotonic calibrator and a one-row metadata table -- written as one
-  directory through Spark writers; an existing bundle is never overwritten
-  unless forced.
+  the isotonic calibrator and a one-row metadata table. Every save writes a new
+  version folder and then appends the metadata row that names it, so a reader
+  sees a complete bundle or none; an existing bundle is not superseded unless
+  forced.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict, dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,19 +43,25 @@ def raw_schema(extra: tuple[str, ...] = ("id",)) -> T.StructType:
 
 
 def read_loans_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                   multiline: bool = True) -> DataFrame:
-    """S-1: CSV scan with projection at the source and footer rows dropped."""
+                   multiline: bool = False) -> DataFrame:
+    """S-1: CSV scan with projection at the source and footer rows dropped.
+
+    Spark matches a CSV schema to the file by position, so the schema is laid
+    out in the order of the header (unlisted columns as text, never parsed) and
+    the columns are then selected by name. A column of ``schema`` that the
+    header lacks raises, and so does a file of the folder whose header differs
+    (``enforceSchema``)."""
     schema = schema or raw_schema()
-    df = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("multiLine", multiline)
-        .option("escape", '"')
-        .csv(path)
-    )
-    keep = [c for c in list(C.ALLOWLIST) + list(C.BOOKKEEPING) if c in df.columns]
-    extra = [c for c in df.columns if c not in keep]
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
+    header = reader.option("inferSchema", False).csv(path).columns
+    absent = [f.name for f in schema.fields if f.name not in header]
+    if absent:
+        raise ValueError(f"columns absent from the CSV header: {absent}")
+    listed = {f.name: f for f in schema.fields}
+    in_file = T.StructType([listed.get(name, T.StructField(name, T.StringType(), True)) for name in header])
+    df = reader.option("mode", "PERMISSIVE").option("enforceSchema", False).schema(in_file).csv(path)
+    keep = [c for c in list(C.ALLOWLIST) + list(C.BOOKKEEPING) if c in listed]
+    extra = [f.name for f in schema.fields if f.name not in keep]
     return df.select(*extra, *keep).filter(F.col("loan_status").isNotNull())
 
 
@@ -63,15 +73,12 @@ def write_partitioned(df: DataFrame, path: str, by: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
-# Reports up to this many rows are written as one file.
-REPORT_SINGLE_FILE_ROWS = 100_000
+def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """S-5: a tidy report table as JSON lines; in one file only if asked for."""
+    (df.coalesce(1) if single_file else df).write.mode("overwrite").json(path)
 
 
-def write_report(df: DataFrame, path: str, single_file_rows: int = REPORT_SINGLE_FILE_ROWS) -> None:
-    """S-5: a tidy report table as JSON lines. One file only when the table is
-    proven small (counted first); a larger table keeps its partitions."""
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
-    (df.coalesce(1) if small else df).write.mode("overwrite").json(path)
+_METADATA = "seq long, version string, metadata string, prep_stats string"
 
 
 # --- S-6 decision bundle ---------------------------------------------------------------
@@ -91,24 +98,32 @@ class BundleMetadata:
     schema_version: int = 1
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _saved(spark: SparkSession, root: str):
+    """The latest metadata row of a bundle, None if there is no bundle. Any
+    other failure to read it (permissions, network) is raised."""
     try:
-        spark.read.json(path)
-        return True
-    except Exception:  # noqa: BLE001 - missing path raises an analysis error
-        return False
+        rows = spark.read.schema(_METADATA).json(f"{root}/metadata")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows.orderBy(F.col("seq").desc()).first()
 
 
 def save_bundle(spark: SparkSession, path: str, meta: BundleMetadata, stats, model, calibrator,
                 force: bool = False) -> str:
-    """Write the complete bundle, or refuse when one already exists."""
+    """Write the complete bundle, or refuse when one already exists. The
+    metadata row comes last: a save that fails before leaves the bundle as it
+    was."""
     root = path.rstrip("/")
-    if _exists(spark, f"{root}/metadata") and not force:
+    last = _saved(spark, root)
+    if last is not None and not force:
         raise FileExistsError(f"bundle already exists at {root}; pass force=True to replace it")
-    model.write().overwrite().save(f"{root}/model")
-    calibrator.write().overwrite().save(f"{root}/calibrator")
-    rows = [(json.dumps(asdict(meta), sort_keys=True), stats.to_json())]
-    spark.createDataFrame(rows, "metadata string, prep_stats string").coalesce(1).write.mode("overwrite").json(f"{root}/metadata")
+    version = uuid.uuid4().hex
+    model.write().save(f"{root}/versions/{version}/model")
+    calibrator.write().save(f"{root}/versions/{version}/calibrator")
+    row = (last["seq"] + 1 if last else 1, version, json.dumps(asdict(meta), sort_keys=True), stats.to_json())
+    spark.createDataFrame([row], _METADATA).coalesce(1).write.mode("append").json(f"{root}/metadata")
     return root
 
 
@@ -117,7 +132,10 @@ def load_bundle(spark: SparkSession, path: str, model_class, calibrator_class):
     from ledgerlake.operators.preprocess import PrepStats
 
     root = path.rstrip("/")
-    row = spark.read.json(f"{root}/metadata").first()
+    row = _saved(spark, root)
+    if row is None:
+        raise FileNotFoundError(f"no bundle at {root}")
+    version = f"{root}/versions/{row['version']}"
     meta = BundleMetadata(**json.loads(row["metadata"]))
     stats = PrepStats.from_json(row["prep_stats"])
-    return meta, stats, model_class.load(f"{root}/model"), calibrator_class.load(f"{root}/calibrator")
+    return meta, stats, model_class.load(f"{version}/model"), calibrator_class.load(f"{version}/calibrator")

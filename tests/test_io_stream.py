@@ -29,6 +29,27 @@ def test_csv_ingest_projection_bad_cells_and_footer(spark):
     assert sorted([r["loan_amnt"] for r in rows], key=lambda v: (v is None, v)) == [10000.0, None]
 
 
+def test_csv_columns_are_taken_by_name(spark, tmp_path):
+    """Another column order and 120 unlisted columns between; an absent listed
+    column raises, and so does a second file with another header."""
+    names = [f.name for f in io.raw_schema().fields][::-1]
+    mixed = [x for i, n in enumerate(names) for x in (n, *(f"other_{i}_{k}" for k in range(4)))]
+    base = raw_row(id="77", loan_amnt=12345.0, grade="C", loan_status="Charged Off")
+    line = ",".join(str(base[n]) if n in base and base[n] is not None else ("99" if n not in base else "") for n in mixed)
+    folder = tmp_path / "loans"
+    folder.mkdir()
+    (folder / "a.csv").write_text(",".join(mixed) + "\n" + line + "\n")
+    rows = io.read_loans_csv(spark, str(folder)).collect()
+    assert len(rows) == 1
+    assert all(rows[0][n] == base[n] for n in names)
+    (tmp_path / "b.csv").write_text(",".join(n for n in mixed if n != "grade") + "\n")
+    with pytest.raises(ValueError, match="grade"):
+        io.read_loans_csv(spark, str(tmp_path / "b.csv"))
+    (folder / "z.csv").write_text(",".join(mixed[::-1]) + "\n" + line + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        io.read_loans_csv(spark, str(folder)).collect()
+
+
 def test_partitioned_write_replaces_only_present_partitions(spark):
     d = tempfile.mkdtemp(prefix="ll-part-") + "/batches"
     io.write_partitioned(spark.createDataFrame([("2016-01", 1), ("2016-02", 2)], "batch string, x int"), d, "batch")
@@ -61,6 +82,69 @@ def test_bundle_refuses_overwrite(spark):
     assert m2.threshold == 0.14 and stats.kind == "linear" and lr.numFeatures == 1
 
 
+def test_failed_save_leaves_the_bundle_as_it_was(spark, tmp_path):
+    class Saves:
+        def __init__(self, fails=False):
+            self.fails = fails
+
+        def write(self):
+            return self
+
+        def save(self, path):
+            if self.fails:
+                raise OSError("disk")
+
+        @classmethod
+        def load(cls, path):
+            return path
+
+    from ledgerlake.operators.preprocess import PrepStats
+
+    path, stats = str(tmp_path / "b"), PrepStats(kind="linear")
+    meta = io.BundleMetadata("logistic_regression", 0.14, 0.2, 0.37, 0.83)
+    with pytest.raises(OSError):
+        io.save_bundle(spark, path, meta, stats, Saves(), Saves(fails=True))
+    with pytest.raises(FileNotFoundError):
+        io.load_bundle(spark, path, Saves, Saves)
+    io.save_bundle(spark, path, meta, stats, Saves(), Saves())
+    before = io.load_bundle(spark, path, Saves, Saves)
+    other = io.BundleMetadata("gbt", 0.5, 0.2, 0.37, 0.83)
+    with pytest.raises(OSError):
+        io.save_bundle(spark, path, other, stats, Saves(), Saves(fails=True), force=True)
+    assert io.load_bundle(spark, path, Saves, Saves)[2:] == before[2:]
+    io.save_bundle(spark, path, other, stats, Saves(), Saves(), force=True)
+    after = io.load_bundle(spark, path, Saves, Saves)
+    assert after[0].threshold == 0.5 and after[2] != before[2]
+
+
+def test_quarantine_keeps_rows_that_no_rule_can_compute(spark):
+    """Zero, negative and null amounts, no term, a month that names none: each
+    is rejected with its reasons, and the accepted side derives."""
+    from ledgerlake.functions.features import applications_to_loans, derive_features
+
+    ok = dict(loan_amnt=12000.0, int_rate=11.99, installment=398.52)
+    apps = contract.loans_as_applications(raw_frame(spark, [
+        raw_row(id="ok", **ok),
+        raw_row(id="zero", **ok | {"loan_amnt": 0.0}),
+        raw_row(id="neg", **ok | {"loan_amnt": -5.0}),
+        raw_row(id="null", **ok | {"loan_amnt": None, "int_rate": None}),
+        raw_row(id="term", **ok | {"term": " 00 months"}),
+        raw_row(id="rate", **ok | {"int_rate": -1200.0}),
+        raw_row(id="free", **ok | {"int_rate": 0.0, "term": " 00 months"}),
+        raw_row(id="month", **ok | {"issue_d": "Foo-2015"}),
+        raw_row(id="line", **ok | {"earliest_cr_line": "Abc-1999"}),
+    ]))
+    q = contract.quarantine(apps)
+    out = {r["id"]: r["reasons"] for r in q.collect()}
+    assert out["ok"] == [] and out["zero"] == ["loan_amnt"] and out["neg"][0] == "loan_amnt"
+    assert {"loan_amnt", "int_rate"} <= set(out["null"]) and "term_months" in out["term"]
+    assert "int_rate" in out["rate"] and {"term_months", "int_rate"} <= set(out["free"])
+    assert out["month"] == ["application_date_invalid"] and out["line"] == ["earliest_cr_line_invalid"]
+    loans = derive_features(applications_to_loans(q), strict_dates=False)
+    dates = {r["id"]: r["issue_date"] for r in loans.select("id", "issue_date").collect()}
+    assert dates["month"] is None and str(dates["ok"]) == "1997-06-01"
+
+
 def test_quarantine_rejects_inconsistent_installment(spark):
     apps = contract.loans_as_applications(raw_frame(spark, [
         raw_row(id="ok", loan_amnt=12000.0, int_rate=11.99, installment=398.52),
@@ -110,15 +194,15 @@ def test_streaming_monthly_summary(spark):
     assert got["2016-02"]["loans"] == 2 and got["2016-02"]["fund_rate"] == 1.0
 
 
-def test_write_report_single_file_only_when_small(spark, tmp_path):
+def test_write_report_single_file_only_when_asked_for(spark, tmp_path):
     import glob
 
     from ledgerlake.sources import io
 
     df = spark.range(40).repartition(4).selectExpr("id", "id * 2 AS twice")
-    io.write_report(df, str(tmp_path / "small"))
+    io.write_report(df, str(tmp_path / "small"), single_file=True)
     assert len(glob.glob(str(tmp_path / "small" / "part-*"))) == 1
-    io.write_report(df, str(tmp_path / "big"), single_file_rows=10)
+    io.write_report(df, str(tmp_path / "big"))
     assert len(glob.glob(str(tmp_path / "big" / "part-*"))) > 1
     back = spark.read.json(str(tmp_path / "big"))
     assert back.count() == 40 and back.agg({"twice": "sum"}).first()[0] == 2 * sum(range(40))

@@ -24,6 +24,22 @@ def test_running_sums_bucketed_equal_cumsum(spark, force_buckets):
         assert [c for _, c in mine] == list(np.cumsum([w for _, w in base]))
 
 
+def test_hot_group_is_split_among_many_groups(spark, monkeypatch):
+    """20,000 groups of one row and one of 6,000: only the hot one is split,
+    into ranges by its size, and its sums are exact."""
+    monkeypatch.setattr(windows, "SINGLE_TASK_ROWS", 1000)
+    monkeypatch.setattr(windows, "ROWS_PER_BUCKET", 500)
+    df = spark.range(26000).selectExpr("if(id < 6000, -1, id) AS g", "cast(id AS double) AS v", "id % 7 AS w")
+    bucketed, split = windows._with_bucket(df, "v", ["g"], 2)
+    ranges = {r["hot"]: r["n"] for r in bucketed.groupBy((F.col("g") == -1).alias("hot"))
+              .agg(F.countDistinct("_bkt").alias("n")).collect()}
+    assert split and ranges[True] == 12 and ranges[False] == 1
+    out = windows.running_sums(df, ["v"], ["w"], ["g"], buckets=2)
+    want = np.cumsum(np.arange(6000) % 7)
+    assert [r["cum_w"] for r in out.filter("g = -1").orderBy("v").collect()] == list(want)
+    assert out.filter("g >= 0 AND cum_w != w").count() == 0 and out.count() == 26000
+
+
 def test_carry_backward_and_forward(spark, force_buckets):
     rows = [("g", float(k), 1 if k % 7 == 0 else 0, f"v{k}" if k % 7 == 0 else None) for k in range(200)]
     df = spark.createDataFrame(rows, "g string, k double, tie int, val string")
@@ -68,15 +84,16 @@ def test_disparity_undefined_correlation_is_null(spark):
 def test_exact_percentiles_equal_numpy(spark, monkeypatch, mode):
     """Distributed exact quantiles equal numpy 'linear' and Spark's percentile,
     with ties, a single-value group and an all-null group; also when there are
-    more groups than the broadcast bound (shuffle join, plain windows)."""
+    too many groups to broadcast anything (shuffle joins)."""
     from ledgerlake.functions import quantiles
     from ledgerlake.functions.quantiles import exact_percentiles
 
     if mode == "bucketed":
         monkeypatch.setattr(windows, "SINGLE_TASK_ROWS", 0)
     if mode == "many_groups":
-        monkeypatch.setattr(windows, "MAX_GROUPS", 1)
-        monkeypatch.setattr(quantiles, "MAX_GROUPS", 1)
+        monkeypatch.setattr(windows, "SINGLE_TASK_ROWS", 0)
+        monkeypatch.setattr(windows, "BROADCAST_EDGES", 0)
+        monkeypatch.setattr(quantiles, "bounded_broadcast", lambda side: side)
     rng = np.random.default_rng(4)
     a = np.round(rng.normal(size=700), 1)  # many ties
     b = rng.uniform(size=301)
