@@ -65,7 +65,7 @@ def read_loans_csv(spark: SparkSession, path: str, schema: T.StructType | None =
     return df.select(*extra, *keep).filter(F.col("loan_status").isNotNull())
 
 
-def write_partitioned(df: DataFrame, path: str, by: str) -> None:
+def write_partitioned(df: DataFrame, path: str, by: str | list[str]) -> None:
     """S-3/S-4: parquet partitioned by ``by``; only the partitions present in
     ``df`` are replaced (dynamic partition overwrite). The mode is a writer
     option, not a session setting, so concurrent writers (streaming batches)

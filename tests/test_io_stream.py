@@ -231,3 +231,34 @@ def test_streaming_drift_equals_batch_and_retry_is_idempotent(spark):
     bid = got.first()["batch_id"]
     write_partitioned(got.filter(F.col("batch_id") == bid), f"{sink}/drift", "batch_id")
     assert spark.read.parquet(f"{sink}/drift").count() == len(want)
+
+
+def test_streaming_month_split_over_micro_batches_equals_batch(spark):
+    """Every month's rows land in two micro-batches: the valid drift, summaries
+    and alerts are those of the whole months."""
+    from ledgerlake.operators import monitor
+    from ledgerlake.plans.q_monitor import INPUTS, Monitoring
+    from ledgerlake.streaming import monitor_stream
+
+    m = Monitoring(spark, "/root/testdata/sf0.001")
+    folder = tempfile.mkdtemp(prefix="ll-stream-cur-") + "/in"
+    schema = m.current.schema
+    ck, sink = tempfile.mkdtemp(prefix="ll-stream-ck-"), tempfile.mkdtemp(prefix="ll-stream-out-")
+    for half in (0, 1):
+        part = m.current.filter(F.pmod(F.xxhash64("loan_id"), F.lit(2)) == half)
+        part.coalesce(1).write.mode("append").parquet(folder)
+        assert monitor_stream.start_drift(spark, folder, schema, m.reference, ck, sink).awaitTermination(300)
+    assert spark.read.parquet(f"{sink}/drift").select("batch_id").distinct().count() == 2
+    want = {(r["batch"], r["column"]): r["drift"] for r in m.drift.collect()}
+    rows = monitor_stream.latest(spark, sink, "drift").collect()
+    have = {(r["batch"], r["column"]): r["drift"] for r in rows}
+    assert len(rows) == len(want) and have.keys() == want.keys()
+    for k, v in want.items():
+        assert have[k] == pytest.approx(v, rel=1e-9, abs=1e-12)
+    columns = m.summaries.columns
+    assert sorted(map(tuple, monitor_stream.latest(spark, sink, "summaries").select(columns).collect())) == \
+        sorted(map(tuple, m.summaries.collect()))
+    log = monitor.alert_log(monitor.missing_alerts(m.summaries, m.missing, INPUTS), monitor.category_alerts(m.new_cats),
+                            monitor.retrain_alerts(m.summaries))
+    written = spark.read.parquet(f"{sink}/alerts/batch_id=1").select(log.columns)
+    assert sorted(map(str, written.collect())) == sorted(map(str, log.collect()))
