@@ -17,11 +17,15 @@ nothing at or above the threshold is lost.
 A retrieved item counts as leaked if the text holds at least
 ``QUESTION_OVERLAP`` of the question's five-word shingles and
 ``ANSWER_OVERLAP`` of the answer's two-word shingles. (An item is one text:
-its last sentence is the answer; of a single sentence, the last quarter.)
+its last sentence is the answer; of a single sentence, the last quarter.) An
+answer of fewer than ``SHORT_ANSWER`` words says little by itself: such an item
+is also leaked if the text holds ``ITEM_OVERLAP`` of the five-word shingles of
+question and answer together.
 
 The index is broadcast in shards of at most ``SHARD_ITEMS`` items, so its size
 is bounded; texts are scanned once a shard. Words are maximal runs outside
-``[\\x20\\x09-\\x0D]``, A-Z lower-cased. Null and empty texts hold nothing, an
+``[\\x20\\x09-\\x0D]``, A-Z lower-cased, without the punctuation and symbols
+(Unicode P and S) at both ends; runs of these alone are no words. Null and empty texts hold nothing, an
 empty benchmark leaks nowhere; items without words are never found. Repeated
 rows and repeated items are reported each on their own.
 """
@@ -30,6 +34,8 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,12 +55,40 @@ BLOCK_UNITS = 8
 SHARD_ITEMS = 20_000
 QUESTION_OVERLAP = 0.5
 ANSWER_OVERLAP = 0.5
+SHORT_ANSWER = 8
+ITEM_OVERLAP = 0.5
+#: Sums over at most so many keys are kept in a plain array.
+DENSE = 4_000_000
 K1, B = 1.2, 0.75
-_SENTENCE = re.compile(rb"(?<=[.?!])[ \t-\r]+|\n")
+_SENTENCE = re.compile(r"(?<=[.?!])[ \t-\r]+|\n")
+
+
+_SIGNS = frozenset(c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c)[0] in "PS")
+_ASCII_SIGNS = "".join(c for c in _SIGNS if c.isascii()).encode()
+
+
+def _bare(run: bytes) -> bytes:
+    """The run without punctuation and symbols at both ends."""
+    s = run.decode()
+    first, end = 0, len(s)
+    while first < end and s[first] in _SIGNS:
+        first += 1
+    while end > first and s[end - 1] in _SIGNS:
+        end -= 1
+    return s[first:end].encode()
+
+
+def _words(text: str) -> list[bytes]:
+    runs = text.encode().lower().split()
+    if text.isascii():
+        words = [r.strip(_ASCII_SIGNS) for r in runs]
+    else:
+        words = [r.strip(_ASCII_SIGNS) if r.isascii() else _bare(r) for r in runs]
+    return [w for w in words if w]
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
+    return _words(text or "")
 
 
 def shingles(words: list[bytes], k: int) -> set:
@@ -63,7 +97,7 @@ def shingles(words: list[bytes], k: int) -> set:
 
 def question_answer(text: str | None) -> tuple[list[bytes], list[bytes]]:
     """The words of an item's question and of its answer."""
-    parts = [p.lower().split() for p in _SENTENCE.split((text or "").encode())]
+    parts = [_words(p) for p in _SENTENCE.split(text or "")]
     parts = [p for p in parts if p]
     if len(parts) > 1:
         return [w for p in parts[:-1] for w in p], parts[-1]
@@ -85,7 +119,7 @@ class Index:
     block: np.ndarray
     block_max: np.ndarray
     unit_item: np.ndarray  # unit -> position in items
-    items: list  # (item_id, question shingles, answer shingles)
+    items: list  # (item_id, question shingles, answer shingles, shingles of both if the answer is short)
     n_blocks: int
 
 
@@ -151,12 +185,21 @@ def shard_index(rows: list, texts: dict) -> Index:
     for item in items:
         item_id, text = texts[item]
         q, a = question_answer(text)
-        listed.append((item_id, shingles(q, 5), shingles(a, 2)))
+        listed.append((item_id, shingles(q, 5), shingles(a, 2), shingles(words_of(text), 5) if len(a) < SHORT_ANSWER else None))
     return Index(terms, essential, ptr, u, w, np.searchsorted(block_term, np.arange(n_terms + 1)),
                  u[first] // BLOCK_UNITS, np.maximum.reduceat(w, first),
                  np.array([items[i] for i, _ in unit_no], np.int64), listed, n_blocks)
 
 
+def _distinct(key, size):
+    """np.unique of keys below ``size``."""
+    if size > 8 * DENSE:
+        return np.unique(key)
+    seen = np.zeros(size, bool)
+    seen[key] = True
+    return np.flatnonzero(seen)
+
+
 def _expand(ptr, ids):
     """For each id the positions ptr[id]..ptr[id+1]: (row of ids, position)."""
     size = ptr[ids + 1] - ptr[ids]
@@ -165,8 +208,12 @@ def _expand(ptr, ids):
     return row, start + np.arange(len(row))
 
 
-def _sums(key, value):
-    """Distinct keys and the sum of each one's values."""
+def _sums(key, value, size):
+    """Distinct keys (below ``size``) and the sum of each one's values (above zero)."""
+    if size <= DENSE:
+        total = np.bincount(key, weights=value, minlength=size)
+        keys = np.flatnonzero(total)
+        return keys, total[keys]
     keys, place = np.unique(key, return_inverse=True)
     return keys, np.bincount(place, weights=value, minlength=len(keys))
 
@@ -193,19 +240,20 @@ def retrieve(ix: Index, texts: list[list[bytes]], threshold: float = THRESHOLD)
     n_terms = len(ix.terms)
 
     strong = ix.essential[term]
-    key = np.unique(window[strong] * n_terms + term[strong])
+    total = int(n_windows.sum())
+    key = _distinct(window[strong] * n_terms + term[strong], total * n_terms)
     row, pos = _expand(ix.block_ptr, key % n_terms)
-    pair, bound = _sums((key // n_terms)[row] * ix.n_blocks + ix.block[pos], ix.block_max[pos])
+    pair, bound = _sums((key // n_terms)[row] * ix.n_blocks + ix.block[pos], ix.block_max[pos], total * ix.n_blocks)
     pair = pair[bound + SLACK >= threshold]  # (window, block) pairs left
     if not len(pair):
         return []
     left = np.isin(window, pair // ix.n_blocks)
-    key = np.unique(window[left] * n_terms + term[left])
+    key = _distinct(window[left] * n_terms + term[left], total * n_terms)
     row, pos = _expand(ix.ptr, key % n_terms)
     w, unit = (key // n_terms)[row], ix.unit[pos]
     left = np.isin(w * ix.n_blocks + unit // BLOCK_UNITS, pair)
     n_units = len(ix.unit_item)
-    found, score = _sums(w[left] * n_units + unit[left], ix.impact[pos][left])
+    found, score = _sums(w[left] * n_units + unit[left], ix.impact[pos][left], total * n_units)
     best: dict[tuple[int, int], float] = {}
     for k, s in zip(found[score >= threshold - 1e-9].tolist(), score[score >= threshold - 1e-9].tolist()):
         d = int(np.searchsorted(window_of, k // n_units, side="right")) - 1
@@ -216,13 +264,14 @@ def retrieve(ix: Index, texts: list[list[bytes]], threshold: float = THRESHOLD)
 
 def leaks(ix: Index, texts: list[str | None]) -> list[tuple[int, object, float, float, float]]:
     """(text number, item_id, score, question overlap, answer overlap) of the
-    retrieved items whose question and answer both are in the text."""
+    retrieved items whose question and answer both are in the text, or, with a
+    short answer, enough of the whole item."""
     words = [words_of(t) for t in texts]
     out, of = [], {}
     for d, i, score in retrieve(ix, words):
         if d not in of:
             of = {d: (shingles(words[d], 5), shingles(words[d], 2))}
-        item_id, q, a = ix.items[i]
+        item_id, q, a, whole = ix.items[i]
         long, short = of[d]
         if len(q) == 1 and len(next(iter(q))) < 5:  # a question of fewer than five words
             size = len(next(iter(q)))
@@ -230,7 +279,8 @@ def leaks(ix: Index, texts: list[str | None]) -> list[tuple[int, object, float,
         if len(a) == 1 and len(next(iter(a))) < 2:
             short = shingles(words[d], 1)
         qo, ao = len(q & long) / len(q), len(a & short) / len(a)
-        if qo >= QUESTION_OVERLAP and ao >= ANSWER_OVERLAP:
+        both = whole and len(next(iter(whole))) == 5 and len(whole & of[d][0]) / len(whole) >= ITEM_OVERLAP
+        if both or (qo >= QUESTION_OVERLAP and ao >= ANSWER_OVERLAP):
             out.append((d, item_id, score, qo, ao))
     return out
 

@@ -365,6 +365,21 @@ def test_decontamination(spark, docs, nothing):
     assert decontaminate.hits(nothing, items).count() == 0
 
 
+def test_decontamination_with_glued_signs_and_cut_answers(spark):
+    """A sign glued to the last word, quotes around words, and a passage cut
+    before its short last sentence still are leaks; other texts are not."""
+    passage = " ".join(f"word{i}" for i in range(36))
+    item = passage + ". Only for."
+    lead, tail = "lead in text here " * 4, " and more text behind"
+    texts = [lead + item + tail, lead + item + "&&&" + tail, lead + passage + tail,
+             lead + " ".join(f"“{w}”," for w in item.split()) + tail, lead + "only for." + tail,
+             lead + " ".join(passage.split()[:12]) + " only for." + tail]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, "... !!")], "item_id long, text string")
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontaminate.hits(docs, items).collect()) == [(i, 1) for i in range(4)]
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs, items).collect()) == [4, 5]
+
+
 def test_retrieval_equals_plain_bm25(spark):
     """Every unit at or above the threshold, by scoring all units of all passages."""
     rng = np.random.default_rng(2)
