@@ -1,12 +1,18 @@
-"""Scores of a hierarchical Pitman-Yor language model.
+"""Scores of a hierarchical Pitman-Yor language model over words.
 
 Text model: a text is its words (maximal runs outside ``[\\x20\\x09-\\x0D]``,
-A-Z lower-cased) as UTF-8 bytes with one blank between words, then an end
-symbol. A restaurant stands for a context of up to four symbols; its parent is
-the context without the oldest symbol, the root's base is uniform. All
-restaurants with the same last two context symbols form a subtree of at most
-258**3 dishes; subtrees are dealt to tasks, which hold the counts of distinct
-five-symbol strings, never the texts.
+A-Z lower-cased) and an end token. A restaurant stands for a context of two
+words, its parent for the last of them, the root for none; rows of a Spark table
+(u, v, w) are the dishes w of the context (u, v). Two-word restaurants are dealt
+to tasks by v (those of a frequent v also by u), one-word ones by v, the root's
+dishes by w. Each level is seated in jobs of its own, its tables are its parent's
+customers, and the parent's predictions reach it by a join.
+
+Base of the root: a word's spelling by a byte model, itself a Pitman-Yor
+hierarchy over contexts of up to four symbols of the spelling (bytes, then an
+end symbol; the end token is the empty spelling). Its customers are the distinct
+words of the training texts; restaurants with the same last two symbols form a
+subtree of at most 258**3 dishes.
 
 Seating: each Gibbs sweep unseats all customers of a dish in a restaurant and
 seats them again one after another by the Chinese-restaurant rule given the
@@ -14,14 +20,14 @@ other dishes' tables and the parent's prediction. Of many customers, blocks that
 fixed share of those who sit already are seated at once, so a dish costs the
 logarithm of its customers; of ``PROPOSALS`` such seatings one is taken by its
 weight, which corrects the one-by-one draw towards the exact conditional (with
-one or two customers it is exact). New table counts are the
-parent's customers. The two upper levels (at most 258**2 dishes) are sampled on
-the driver. Predictive probabilities are averaged over the last sweeps.
+one or two customers it is exact). The two upper levels of the byte model (at
+most 258**2 dishes) are sampled on the driver. Predictive probabilities are
+averaged over the last sweeps.
 
-Scoring asks per chunk of documents for each distinct word and five-symbol
-string once, joins these with the counts and the model by key, and brings the
-answers to the chunk's texts: nothing is broadcast but the bounded upper
-levels, and texts are shuffled once.
+Scoring asks per chunk of documents for each distinct word triple once, joins
+these with the model by key, and brings the answers to the chunk's texts:
+nothing is broadcast but the byte model's bounded upper levels and the list of
+frequent words (at most one for ``DEAL_ROWS`` triples), and texts are shuffled once.
 
 Null and empty texts hold the end only. Rows with a null doc_id are not held
 out. Repeated rows count and are scored each on their own.
@@ -48,6 +54,8 @@ BITS = 9
 #: Discount and concentration by context length.
 DISCOUNT = (0.1, 0.2, 0.3, 0.4, 0.5)
 CONCENTRATION = (1.0, 1.0, 1.0, 1.0, 1.0)
+#: The same of the word levels.
+WORD_LAW = ((0.6, 1.0), (0.75, 1.0), (0.85, 1.0))
 BURN_IN, SAMPLES, PROPOSALS = 2, 3, 2
 #: Customers seated at once, as a share of those of the dish who sit already.
 BLOCK = 0.08
@@ -55,10 +63,14 @@ SEED = 7
 #: Rows of a file that share one request.
 CHUNK_ROWS = 8192
 ALPHA = 0.1
-WORD, STRING = 0, 1
-#: Key of the end token (no word holds a blank).
+#: Keys of the end token and of the place before a text (no word holds a blank).
 END_KEY = int(np.uint64(xxhash.xxh3_64_intdigest(b" ")).view(np.int64))
+START_KEY = int(np.uint64(xxhash.xxh3_64_intdigest(b"  ")).view(np.int64))
 WORD_MEMO = 400_000
+#: Triples, or words, of one task's share.
+DEAL_ROWS, BIN_WORDS = 1_000_000, 50_000
+#: Smaller spelling probabilities (log10) are kept apart, they would underflow.
+LEAST_LOG10 = -250.0
 
 
 def _mask(symbols: int) -> int:
@@ -76,13 +88,18 @@ class _Keys(dict):
         return h
 
 
-def text_keys(text: str | None, memo: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(keys of the words and the end, keys of the five-symbol strings)."""
+def word_keys(text: str | None, memo: dict) -> tuple[list[bytes], np.ndarray]:
+    """The words and the keys of two starts, the words and the end."""
     words = (text or "").encode().lower().split()
-    keys = np.empty(len(words) + 1, np.int64)
-    keys[:-1] = np.array([memo[w] for w in words], np.uint64).view(np.int64)
-    keys[-1] = END_KEY
-    body = np.frombuffer(b" ".join(words), np.uint8)
+    keys = np.empty(len(words) + 3, np.int64)
+    keys[:2], keys[-1] = START_KEY, END_KEY
+    keys[2:-1] = np.array([memo[w] for w in words], np.uint64).view(np.int64)
+    return words, keys
+
+
+def spelling(word: bytes) -> np.ndarray:
+    """Keys of the five-symbol strings that end in each byte and in the end."""
+    body = np.frombuffer(word, np.uint8)
     p = np.zeros(len(body) + ORDER, np.int64)
     p[ORDER - 1:-1] = body
     p[ORDER - 1:-1] += 1
@@ -92,19 +109,20 @@ def text_keys(text: str | None, memo: dict) -> tuple[np.ndarray, np.ndarray]:
     for k in range(1, ORDER):
         g <<= BITS
         g |= p[k:k + n]
-    return keys, g
+    return g
 
 
-def _counted(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if not arrays:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    got = pc.value_counts(pa.array(np.concatenate(arrays)))
-    return got.field(0).to_numpy(), got.field(1).to_numpy()
+def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One 64-bit key of two."""
+    with np.errstate(over="ignore"):
+        x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        x = (x + b.view(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
+        return (x ^ (x >> np.uint64(32))).view(np.int64)
 
 
-def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, place = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(place, np.concatenate([c for _, c in parts]), len(keys)).astype(np.int64)
+def _column(t: pa.Table, name: str) -> np.ndarray:
+    return np.ascontiguousarray(t[name].to_numpy())
 
 
 def chunked(docs: DataFrame) -> DataFrame:
@@ -124,42 +142,44 @@ def chunked(docs: DataFrame) -> DataFrame:
 
 
 def requests(docs: DataFrame) -> DataFrame:
-    """(chunk, kind, key, n): each distinct key of a chunk once (or a few
-    times), with its count in training texts."""
+    """(chunk, u, v, w, n, word): each distinct triple of a chunk once (or a few
+    times) with its count in training texts, and (word given) each distinct word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, chunk, parts, size = _Keys(), None, ([], []), 0
+        memo, chunk, keys, counts, words = _Keys(), None, [], [], set()
 
         def flush():
-            for kind in (WORD, STRING):
-                if parts[kind]:
-                    keys, n = _merged(parts[kind])
-                    parts[kind].clear()
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(keys), chunk, np.int64)), pa.array(np.full(len(keys), kind, np.int32)),
-                         pa.array(keys), pa.array(n)], names=["chunk", "kind", "key", "n"])
-
+            if not keys:
+                return
+            u, v, w = (np.concatenate([k[i:len(k) - 2 + i] for k in keys]) for i in range(3))
+            n = np.repeat(np.array(counts, np.int64), [len(k) - 2 for k in keys])
+            t = pa.table({"u": u, "v": v, "w": w, "n": n}).group_by(["u", "v", "w"], use_threads=False).aggregate([("n", "sum")])
+            one = pa.table({"chunk": np.full(len(t), chunk, np.int64), "u": t["u"], "v": t["v"], "w": t["w"],
+                            "n": t["n_sum"], "word": pa.nulls(len(t), pa.binary())})
+            listed = [b"", *words]
+            own = np.array([END_KEY, *(np.uint64(memo[x]).view(np.int64) for x in words)], np.int64)
+            none = pa.nulls(len(listed), pa.int64())
+            two = pa.table({"chunk": np.full(len(listed), chunk, np.int64), "u": none, "v": none, "w": own,
+                            "n": np.zeros(len(listed), np.int64), "word": pa.array(listed, pa.binary())})
+            keys.clear(), counts.clear(), words.clear()
+            for table in (one, two):
+                yield from table.combine_chunks().to_batches(max_chunksize=100_000)
+
+        size = 0
         for b in batches:
-            held = b.column(1).to_pylist()
-            texts = b.column(2).to_pylist()
-            of = b.column(0).to_numpy()
-            for at in np.split(np.arange(len(of)), np.flatnonzero(np.diff(of)) + 1):
-                if not len(at):
-                    continue
-                if of[at[0]] != chunk or size > 4_000_000:
+            for of, held, text in zip(*(b.column(i).to_pylist() for i in range(3))):
+                if of != chunk or size > 2_000_000:
                     yield from flush()
-                    chunk, size = int(of[at[0]]), 0
-                got = {(k, h): [] for k in (WORD, STRING) for h in (False, True)}
-                for i in at:
-                    for kind, keys in enumerate(text_keys(texts[i], memo)):
-                        got[kind, held[i]].append(keys)
-                for (kind, h), arrays in got.items():
-                    keys, n = _counted(arrays)
-                    parts[kind].append((keys, n * (not h)))
-                    size += len(keys)
+                    chunk, size = of, 0
+                found, k = word_keys(text, memo)
+                words.update(found)
+                keys.append(k)
+                counts.append(not held)
+                size += len(k)
         yield from flush()
 
-    return docs.select("chunk", "held_out", "text").mapInArrow(run, "chunk bigint, kind int, key bigint, n bigint")
+    return docs.select("chunk", "held_out", "text").mapInArrow(
+        run, "chunk bigint, u bigint, v bigint, w bigint, n bigint, word binary")
 
 
 # --- seating ---------------------------------------------------------------
@@ -194,12 +214,15 @@ def seat(c, others, base, discount: float, concentration: float, rng) -> tuple[n
     return tables, weight
 
 
-def reseat(c, tables, restaurant, base, level: int, rng) -> np.ndarray:
-    """One Gibbs step for every dish with customers (the others have no table)."""
-    total = np.bincount(restaurant, tables, int(restaurant.max(initial=-1)) + 1)
+def reseat(c, tables, restaurant, base, level: int, rng, law=None, total=None) -> np.ndarray:
+    """One Gibbs step for every dish with customers (the others have no table).
+    ``law``: discount and concentration, ``total``: each restaurant's tables, if
+    they are not the byte level's and the sum of these rows."""
+    if total is None:
+        total = np.bincount(restaurant, tables, int(restaurant.max(initial=-1)) + 1)
     has = np.flatnonzero(c > 0)
     others = (total[restaurant] - tables)[has]
-    args = (c[has].astype(float), others, base[has], DISCOUNT[level], CONCENTRATION[level], rng)
+    args = (c[has].astype(float), others, base[has], *(law or (DISCOUNT[level], CONCENTRATION[level])), rng)
     taken, weight = seat(*args)
     for _ in range(PROPOSALS - 1):
         t, w = seat(*args)
@@ -211,10 +234,10 @@ def reseat(c, tables, restaurant, base, level: int, rng) -> np.ndarray:
     return out
 
 
-def predict(c, tables, restaurant, base, level: int) -> np.ndarray:
+def predict(c, tables, restaurant, base, level: int, law=None) -> np.ndarray:
     """The restaurant's predictive probability of every dish."""
     n = int(restaurant.max(initial=-1)) + 1
-    d, theta = DISCOUNT[level], CONCENTRATION[level]
+    d, theta = law or (DISCOUNT[level], CONCENTRATION[level])
     customers, total = np.bincount(restaurant, c, n)[restaurant], np.bincount(restaurant, tables, n)[restaurant]
     return (c - d * tables + (theta + d * total) * base) / (theta + customers)
 
@@ -321,49 +344,181 @@ def fit(counts: DataFrame) -> DataFrame:
     return _over_subtrees(counts, upper, final=True)
 
 
+# --- word levels -----------------------------------------------------------
+
+
+def sampled(c, restaurant, base, law, rng) -> tuple[np.ndarray, np.ndarray]:
+    """(tables after the last sweep, averaged predictions) of whole restaurants."""
+    t, mean = (c > 0).astype(float), np.zeros(len(c))
+    for sweep in range(BURN_IN + SAMPLES):
+        t = reseat(c, t, restaurant, base, 0, rng, law)
+        if sweep >= BURN_IN:
+            mean += predict(c, t, restaurant, base, 0, law)
+    return t, mean / SAMPLES
+
+
+def spelled(vocab: DataFrame) -> DataFrame:
+    """(bin, w, cw, base, shift) of the vocabulary (bin, w, word, cw): the
+    probability of the spelling; of a word not trained on, what was taken off its log10."""
+
+    def ask(t: pa.Table) -> pa.Table:
+        keys = [spelling(x) for x in t["word"].to_pylist()]
+        n = np.repeat((_column(t, "cw") > 0).astype(np.int64), [len(k) for k in keys])
+        got = pa.table({"key": np.concatenate(keys), "n": n}).group_by("key", use_threads=False).aggregate([("n", "sum")])
+        return pa.table({"bin": np.full(len(got), t["bin"][0].as_py(), np.int64), "key": got["key"], "n": got["n_sum"]})
+
+    asked = stored(vocab.groupBy("bin").applyInArrow(ask, "bin bigint, key bigint, n bigint"), "lm-spelling")
+    model = stored(fit(asked.groupBy("key").agg(F.sum("n").alias("n"))), "lm-bytes")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        keys = [spelling(x) for x in left["word"].to_pylist()]
+        place = pc.index_in(pa.array(np.concatenate(keys)), value_set=right["key"].combine_chunks()).to_numpy()
+        first = np.cumsum([0, *(len(k) for k in keys[:-1])])
+        log = np.add.reduceat(np.log10(_column(right, "value"))[place], first)
+        kept = np.maximum(log, LEAST_LOG10)
+        cw = _column(left, "cw")
+        return pa.table({"bin": left["bin"], "w": left["w"], "cw": cw, "base": 10.0 ** kept,
+                         "shift": np.where(cw > 0, 0.0, log - kept)})
+
+    answers = asked.join(model, "key").select("bin", "key", "value")
+    return stored(vocab.groupBy("bin").cogroup(answers.groupBy("bin")).applyInArrow(
+        run, "bin bigint, w bigint, cw bigint, base double, shift double"), "lm-base")
+
+
+def root(base: DataFrame, customers: DataFrame) -> DataFrame:
+    """(w, cw, shift, p): predictions of the root from its customers (w, c). Its
+    dishes are dealt by word; the sum of the tables is renewed after each sweep."""
+    law = WORD_LAW[0]
+    rows = base.join(customers, "w", "left").withColumn("c", F.coalesce("c", F.lit(0)).cast("double"))
+    rows = rows.withColumns({"t": (F.col("c") > 0).cast("double"), "p": F.lit(0.0)})
+    fields = "bin bigint, w bigint, cw bigint, base double, shift double, c double, t double, p double"
+    rows = stored(rows.select("bin", "w", "cw", "base", "shift", "c", "t", "p"), "lm-root")
+
+    def seating(sweep: int, n: float, total: float):
+        def step(t: pa.Table) -> pa.Table:
+            t = t.take(pa.array(np.argsort(_column(t, "w"))))
+            c, tables, base, p = (_column(t, x) for x in ("c", "t", "base", "p"))
+            if sweep > BURN_IN:  # what the sweep before has seated
+                p = p + ((c - law[0] * tables) + (law[1] + law[0] * total) * base) / (law[1] + n) / SAMPLES
+            rng = np.random.default_rng([SEED, sweep, t["bin"][0].as_py()])
+            tables = reseat(c, tables, np.zeros(len(c), np.int64), base, 0, rng, law, np.array([total]))
+            return t.set_column(6, "t", pa.array(tables)).set_column(7, "p", pa.array(p))
+
+        return step
+
+    for sweep in range(BURN_IN + SAMPLES + 1):
+        n, total = (float(x or 0) for x in rows.agg(F.sum("c"), F.sum("t")).first())
+        rows = stored(rows.groupBy("bin").applyInArrow(seating(sweep, n, total), fields), "lm-root")
+    return rows.select("w", "cw", "shift", "p")
+
+
+def one_word(customers: DataFrame, parent: DataFrame) -> DataFrame:
+    """(v, w, cw, shift, t, p) of the one-word contexts from (v, w, c), dealt by v."""
+    shares = max(partitions(customers.sparkSession), customers.count() // DEAL_ROWS)
+    rows = customers.join(parent, "w").withColumn("share", F.pmod(F.xxhash64("v"), F.lit(shares)))
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.take(pa.array(np.lexsort((_column(t, "w"), _column(t, "v")))))
+        v = _column(t, "v")
+        room = np.cumsum(np.r_[False, v[1:] != v[:-1]]).astype(np.int64)
+        rng = np.random.default_rng([SEED, 1, t["share"][0].as_py()])
+        tables, p = sampled(_column(t, "c").astype(float), room, _column(t, "p"), WORD_LAW[1], rng)
+        return pa.table({"v": v, "w": t["w"], "cw": t["cw"], "shift": t["shift"], "t": tables, "p": p})
+
+    return stored(rows.select("share", "v", "w", "cw", "shift", "c", "p").groupBy("share").applyInArrow(
+        run, "v bigint, w bigint, cw bigint, shift double, t double, p double"), "lm-one-word")
+
+
+def two_words(triples: DataFrame, parent: DataFrame, final: bool) -> DataFrame:
+    """Final: (u, v, w, cw, shift, p) of every triple; else (v, w, c), the
+    customers of the one-word contexts. Dealt by v, of a frequent v also by u."""
+    shares = max(partitions(triples.sparkSession), triples.count() // DEAL_ROWS)
+    often = triples.groupBy("v").count().filter(F.col("count") > DEAL_ROWS // 4).select(
+        "v", F.ceil(F.col("count") / (DEAL_ROWS // 4)).cast("int").alias("parts"))
+
+    def dealt(df: DataFrame, part) -> DataFrame:
+        df = df.join(F.broadcast(often), "v", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        df = df.withColumn("part", part)
+        return df.withColumn("share", F.pmod(F.xxhash64("v", "part"), F.lit(shares)))
+
+    left = dealt(triples, F.pmod(F.xxhash64("u"), F.col("parts")).cast("int")).select("share", "u", "v", "w", "n")
+    right = dealt(parent, F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "share", "v", "w", "cw", "shift", "p").distinct()
+
+    def run(t: pa.Table, up: pa.Table) -> pa.Table:
+        if not len(t):
+            return out.empty_table()
+        t = t.take(pa.array(np.lexsort((_column(t, "w"), _column(t, "u"), _column(t, "v")))))
+        u, v, w = (_column(t, x) for x in "uvw")
+        room = np.cumsum(np.r_[False, (u[1:] != u[:-1]) | (v[1:] != v[:-1])]).astype(np.int64)
+        place = pc.index_in(pa.array(_pair(v, w)), value_set=pa.array(_pair(_column(up, "v"), _column(up, "w")))).to_numpy()
+        rng = np.random.default_rng([SEED, 2, int(final), t["share"][0].as_py()])
+        tables, p = sampled(_column(t, "n").astype(float), room, _column(up, "p")[place], WORD_LAW[2], rng)
+        if final:
+            return pa.table({"u": u, "v": v, "w": w, "cw": _column(up, "cw")[place], "shift": _column(up, "shift")[place], "p": p})
+        got = pa.table({"v": v, "w": w, "c": tables}).group_by(["v", "w"], use_threads=False).aggregate([("c", "sum")])
+        return pa.table({"v": got["v"], "w": got["w"], "c": got["c_sum"]})
+
+    out = pa.schema([*((k, pa.int64()) for k in ("u", "v", "w", "cw")), ("shift", pa.float64()), ("p", pa.float64())]
+                    if final else [("v", pa.int64()), ("w", pa.int64()), ("c", pa.float64())])
+    ddl = "u bigint, v bigint, w bigint, cw bigint, shift double, p double" if final else "v bigint, w bigint, c double"
+    made = left.groupBy("share").cogroup(right.groupBy("share")).applyInArrow(run, ddl)
+    return stored(made if final else made.groupBy("v", "w").agg(F.sum("c").alias("c")), "lm-two-words")
+
+
+def fit_words(asked: DataFrame) -> tuple[DataFrame, int, int]:
+    """((u, v, w, cw, shift, p) of every triple asked for, training tokens,
+    distinct training words)."""
+    spark = asked.sparkSession
+    triples = stored(asked.filter("word IS NULL").groupBy("u", "v", "w").agg(F.sum("n").alias("n")), "lm-triples")
+    pairs = stored(triples.groupBy("v", "w").agg(
+        F.sum("n").alias("n"), F.sum((F.col("n") > 0).cast("double")).alias("c")), "lm-pairs")
+    singles = pairs.groupBy("w").agg(F.sum("n").alias("cw"), F.sum((F.col("c") > 0).cast("double")).alias("c"))
+    words = stored(asked.filter("word IS NOT NULL").select("w", "word").distinct().join(singles, "w"), "lm-words")
+    n_words = words.count()
+    bins = max(partitions(spark), n_words // BIN_WORDS)
+    base = spelled(words.select(F.pmod(F.xxhash64("w"), F.lit(bins)).alias("bin"), "w", "word", "cw"))
+    n_all, n_distinct = words.filter("cw > 0").agg(F.sum("cw"), F.count(F.lit(1))).first()
+    # One table a dish at first; then each level's tables are the next one's customers.
+    level0 = root(base, words.select("w", "c"))
+    level1 = one_word(pairs.select("v", "w", "c"), level0)
+    customers = two_words(triples, level1, final=False)
+    level1 = one_word(customers, level0)
+    level0 = root(base, level1.groupBy("w").agg(F.sum("t").alias("c")))
+    return two_words(triples, one_word(customers, level0), final=True), int(n_all or 0), int(n_distinct)
+
+
 # --- scores ----------------------------------------------------------------
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     texts = chunked(docs)
     asked = stored(requests(texts), "lm-requests")
-    counts = stored(asked.groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
-    words = counts.filter(F.col("kind") == WORD)
-    got = words.filter("n > 0").agg(F.sum("n"), F.count(F.lit(1))).first()
-    n_all, n_distinct = int(got[0] or 0), int(got[1])
-    model = fit(counts.filter(F.col("kind") == STRING).select("key", "n"))
-    values = stored(
-        words.select("kind", "key", F.col("n").cast("double").alias("value")).unionByName(
-            model.select(F.lit(STRING).alias("kind"), "key", "value")), "lm-values")
-    answers = asked.select("chunk", "kind", "key").join(values, ["kind", "key"]).select("chunk", "kind", "key", "value")
+    model, n_all, n_distinct = fit_words(asked)
+    answers = asked.filter("word IS NULL").select("chunk", "u", "v", "w").join(model, ["u", "v", "w"]).select(
+        "chunk", "u", "v", "w", "cw", "shift", "p")
     floor = ALPHA * (n_distinct + 1) + n_all
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         memo = _Keys()
-        side = {}
-        for k in (WORD, STRING):
-            part = right.filter(pc.equal(right["kind"], k))
-            key, place = np.unique(part["key"].to_numpy(), return_index=True)
-            side[k] = (pa.array(key), part["value"].to_numpy()[place])
+        of = lambda u, v, w: _pair(_pair(u, v), w)
+        side = pa.array(of(*(_column(right, x) for x in "uvw")))
+        c, log = _column(right, "cw"), np.log10(_column(right, "p")) + _column(right, "shift")
         out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
         rows = left["text"].to_pylist()
         for at in range(0, len(rows), 256):
-            got = [text_keys(t, memo) for t in rows[at:at + 256]]
-            values = []
-            for k in (WORD, STRING):
-                sizes = np.array([len(g[k]) for g in got])
-                place = pc.index_in(pa.array(np.concatenate([g[k] for g in got])), value_set=side[k][0]).to_numpy()
-                values.append((side[k][1][place], np.r_[0, np.cumsum(sizes)[:-1]], sizes))
-            c, first, sizes = values[WORD]
+            got = [word_keys(t, memo)[1] for t in rows[at:at + 256]]
+            sizes = np.array([len(k) - 2 for k in got])
+            first = np.r_[0, np.cumsum(sizes)[:-1]]
+            place = pc.index_in(pa.array(of(*(np.concatenate([k[i:len(k) - 2 + i] for k in got]) for i in range(3)))),
+                                value_set=side).to_numpy()
             out["n_tokens"].extend(sizes.tolist())
-            out["n_known"].extend(np.add.reduceat((c > 0).astype(np.int64), first).tolist())
-            out["base_score"].extend(np.add.reduceat(np.log10((c + ALPHA) / floor), first).tolist())
-            p, first, _ = values[STRING]
-            out["score"].extend(np.add.reduceat(np.log10(p), first).tolist())
+            out["n_known"].extend(np.add.reduceat((c[place] > 0).astype(np.int64), first).tolist())
+            out["base_score"].extend(np.add.reduceat(np.log10((c[place] + ALPHA) / floor), first).tolist())
+            out["score"].extend(np.add.reduceat(log[place], first).tolist())
         return pa.table({
             "doc_id": left["doc_id"], "held_out": left["held_out"],
             "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),

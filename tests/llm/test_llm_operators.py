@@ -319,6 +319,27 @@ def test_hpy_scores(spark, docs, nothing):
     assert hpy_model.score(nothing).count() == 0
 
 
+def test_hpy_word_context_reaches_the_score(spark):
+    """The same words score better in an order that the training texts hold, and
+    the two-word restaurants grow with the texts."""
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    train = [i for i in range(200) if zlib.crc32(str(i).encode()) % 10][:60]
+    a, b = "alpha river stone cloud tree lamp", "lamp cloud alpha tree stone river"
+    rows = [(i, a) for i in train] + [(held[0], a), (held[1], b)]
+    got = {r["doc_id"]: r for r in hpy_model.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held[0]]["score"] > got[held[1]]["score"] + 3
+    assert got[held[0]]["base_score"] == pytest.approx(got[held[1]]["base_score"])
+
+    rng, sizes = np.random.default_rng(4), []
+    for n in (20, 80):
+        texts = [(train[i % 60], " ".join(rng.choice([f"w{k}" for k in range(400)], 50))) for i in range(n)]
+        asked = hpy_model.requests(hpy_model.chunked(spark.createDataFrame(texts, "doc_id long, text string")))
+        model, n_all, _ = hpy_model.fit_words(asked)
+        sizes.append(model.select("u", "v").distinct().count())
+        assert n_all == n * 51 and model.filter("p <= 0 OR p >= 1").count() == 0
+    assert sizes[1] > 3 * sizes[0]
+
+
 def test_hpy_predictions_sum_to_one():
     """After any seating the probabilities of all symbols after a context sum to one."""
     rng = np.random.default_rng(0)
