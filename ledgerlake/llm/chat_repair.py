@@ -20,7 +20,8 @@ opening and closing marks, inserted turns and the turn's text. The pieces of a
 conversation in the order of (segment, position) are its rendered text.
 
 Turns are ordered by (turn, role, first ``HEAD_CHARS`` of the text), nulls
-first, then as they were read; equal rows all stay. A
+first, then by a digest of a longer text, so that only equal rows are left as
+they were read; equal rows all stay. A
 null conv_id is a conversation of its own. Null roles and roles outside the
 automaton are relabelled at a lower cost. Null text counts as empty. An empty
 table gives no rows. Other columns are ignored.
@@ -164,13 +165,14 @@ def segmented(conversations: DataFrame) -> DataFrame:
     Written once, since the ranges come from a sample."""
     spark = conversations.sparkSession
     picked = conversations.select("conv_id", "turn", "role", "text").withColumns(
-        {"head": F.substring("text", 1, HEAD_CHARS), "tie": F.monotonically_increasing_id()})
-    dealt = picked.repartitionByRange(partitions(spark), "conv_id", "turn", "role", "head", "tie")
+        {"head": F.substring("text", 1, HEAD_CHARS), "tie": F.monotonically_increasing_id(),
+         "digest": F.when(F.length("text") > HEAD_CHARS, F.sha2("text", 256))})
+    dealt = picked.repartitionByRange(partitions(spark), "conv_id", "turn", "role", "head", "digest", "tie")
     return stored(dealt.withColumn("seg", F.spark_partition_id()), "chat-segments")
 
 
 def _sorted(pdf: pd.DataFrame) -> pd.DataFrame:
-    return pdf.sort_values(["turn", "role", "head", "tie"], na_position="first")
+    return pdf.sort_values(["turn", "role", "head", "digest", "tie"], na_position="first")
 
 
 def _key(df: DataFrame) -> DataFrame:
@@ -188,7 +190,7 @@ def repair(conversations: DataFrame) -> DataFrame:
         m = through([role_number(r) for r in _sorted(pdf)["role"]])
         return pd.DataFrame({"conv": [pdf["conv"].iloc[0]], "seg": [int(pdf["seg"].iloc[0])], "m": [m.ravel().tolist()]})
 
-    runs = rows.select("conv", "seg", "turn", "role", "head", "tie").groupBy("conv", "seg").applyInPandas(
+    runs = rows.select("conv", "seg", "turn", "role", "head", "digest", "tie").groupBy("conv", "seg").applyInPandas(
         reduce, "conv string, seg int, m array<double>")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -177,6 +177,16 @@ def test_chat_repair_is_cheapest(spark):
     assert chat_repair.repair(df.filter("seg = 0")).count() == 0
 
 
+def test_chat_order_does_not_depend_on_the_split(spark):
+    """Turns that differ only after the head keep their order in any row order."""
+    rows = [(1, 1, "user", "x" * 70 + c) for c in "dbac"] + [(1, 2, "assistant", "fine")]
+    made = []
+    for part in (rows, rows[::-1]):
+        got = chat_repair.repair(spark.createDataFrame(part, "conv_id long, turn long, role string, text string")).toPandas()
+        made.append("".join(got.sort_values(["seg", "pos"]).piece))
+    assert made[0] == made[1] and all("x" * 70 + c in made[0] for c in "abcd")
+
+
 def test_sentencepiece_matches_the_library(docs, nothing):
     import sentencepiece
 
