@@ -16,6 +16,7 @@ from ledgerlake.llm import (
     quality_ledger,
     secret_scan,
     sentencepiece_codec,
+    spelling_variants,
     toxicity,
     url_rules,
 )
@@ -81,10 +82,14 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_line_dedup, op3_chat_formatting, op4_sentencepiece, op5_toxicity, op6_near_dedup, op7_url_filter, op8_quality_rules, op9_lm_scoring,
-        op10_decontamination)
+        op10_decontamination, op11_spelling_variants)
 }
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _RULES = ", ".join(f"('{r}', '{v}')" for r, v in URL_RULES)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     chat_repair, decontaminate, hpy_model, line_runs, near_duplicates, quality_ledger, secret_scan,
-    sentencepiece_codec, toxicity, url_rules,
+    sentencepiece_codec, spelling_variants, toxicity, url_rules,
 )
 from ledgerlake.llm.queries import URL_RULES, tokenizer_file
 
@@ -444,3 +444,68 @@ def test_pipeline_runs_through(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert 0 < out.count() < docs.count()
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def plain_near(x, y):
+    if len(x) > len(y):
+        x, y = y, x
+    if x == y or len(y) - len(x) > 1:
+        return False
+    i = next((k for k, (a, b) in enumerate(zip(x, y)) if a != b), len(x))
+    return x[i + 1:] == y[i + 1:] if len(x) == len(y) else x[i:] == y[i + 1:]
+
+
+def test_composition_accepts_each_near_pair_once():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        words = sorted({"".join(rng.choice(list("abé"), rng.choice([3, 4]))) for _ in range(rng.integers(1, 40))})
+        short = [w for w in words if len(w) == 3]
+        both = spelling_variants.Acceptors()
+        p, q = both.add(short), both.add(words)
+        want = [(x, y) for x in short for y in words if plain_near(x, y) and (len(y) > len(x) or x < y)]
+        assert sorted(both.one_edit(p, q)) == sorted(want)
+
+
+def plain_variants(rows, every):
+    n = collections.Counter()
+    for d, t, *_ in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", t or ""):
+            run = run.translate({c: c + 32 for c in range(65, 91)})
+            h = zlib.crc32(f"{'' if d is None else d}:{run}".encode())
+            if h % every == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            n[run] += 1
+    n = {w: c for w, c in n.items() if len(w) >= 6 and c >= 5}
+    near = {w: sorted((x for x in n if plain_near(w, x)), key=lambda x: (-n[x], x)) for w in n}
+    form = {w: near[w][0] if near[w] and n[near[w][0]] >= 5 * n[w] else None for w in n}
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+
+    return sorted(((w, form[w], root(w), n[w], len(near[w]), n.get(form[w])) for w in n), key=repr)
+
+
+def test_spelling_variants(spark, docs, nothing):
+    rng = np.random.default_rng(5)
+    base = ["abcdef", "éabcdeß", "walking", "Talking", "÷×abcd"]
+    texts = [None, "", "short ab", "walking " * 3000]
+    for _ in range(300):  # edits of edits, repeated, in upper case, at both ends
+        w = list(base[rng.integers(len(base))])
+        for _ in range(rng.integers(0, 4)):
+            at, kind = rng.integers(0, len(w)), rng.integers(3)
+            w[at:at + (kind > 0)] = [] if kind == 2 else [str(rng.choice(list("abÀz")))]
+        texts.append(" ".join(["".join(w)] * int(rng.choice([1, 5, 6, 40]))) + ",AbCdEf 12")
+    rows = [(None if i % 50 == 7 else i // 2, t, "x") for i, t in enumerate(texts)]  # null and repeated ids
+    table = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string")
+    for every, block in ((199, 4096), (3, 4)):  # small blocks: initial states dealt out again
+        got = rows_of(spelling_variants.group_variants(table, every=every, block_words=block))
+        want = plain_variants(rows, every)
+        assert got == want
+        assert len({w[2] for w in want}) < len(want) and max(w[4] for w in want) > 3
+    assert spelling_variants.group_variants(nothing).count() == 0
+
+
+def test_roots_follow_long_chains(spark):
+    chain = [(f"w{i:02d}", f"w{i + 1:02d}") for i in range(20)] + [("v", "w07")]
+    got = dict(rows_of(spelling_variants.roots(spark.createDataFrame(chain, "word string, form string"))))
+    assert set(got.values()) == {"w20"} and len(got) == 21
