@@ -6,10 +6,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     chat_repair,
     decontaminate,
+    embedding_codes,
+    hard_negatives,
     hpy_model,
     line_runs,
     near_duplicates,
@@ -86,10 +89,19 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_codes.link(table(spark, sf_dir, "embeddings"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_secret_scan, op2_line_dedup, op3_chat_formatting, op4_sentencepiece, op5_toxicity, op6_near_dedup, op7_url_filter, op8_quality_rules, op9_lm_scoring,
-        op10_decontamination, op11_spelling_variants)
+        op10_decontamination, op11_spelling_variants, op12_embedding_dedup, op13_hard_negatives)
 }
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 _RULES = ", ".join(f"('{r}', '{v}')" for r, v in URL_RULES)
