@@ -45,6 +45,18 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df: DataFrame, name: str) -> DataFrame:
+    """A side of a join, written and counted: broadcast up to
+    ``BROADCAST_ROWS`` rows, so that the other side is not dealt by its (maybe
+    hot) keys; above that, left to a shuffle join whose skew AQE splits."""
+    side = stored(df, name)
+    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+
+
 def batch_columns(
     df: DataFrame,
     keep: list[str],

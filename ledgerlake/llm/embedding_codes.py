@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import bounded_batches, stored
+from ledgerlake.llm.common import bounded_batches, small_side, stored
 from ledgerlake.llm.components import components
 
 MIN_COS = 0.9
@@ -176,7 +176,7 @@ def in_blocks(rows: DataFrame, keys: list[str], block: int) -> DataFrame:
     partition: groups of more than ``block`` rows as pairs of blocks i <= j."""
     large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > block).select(
         *keys, F.ceil(F.col("c") / block).cast("int").alias("blocks"))
-    marked = rows.join(large, keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    marked = rows.join(small_side(large, "codes-large"), keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("node"), F.col("blocks").cast("bigint")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
         F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import bounded_batches, stored
+from ledgerlake.llm.common import bounded_batches, small_side, stored
 
 MIN_LENGTH = 6
 MIN_COUNT = 5
@@ -137,31 +137,38 @@ class Acceptors:
         composed states after the edit)."""
         got = self._common.get((p, q))
         if got is None:
-            got = [""] if self.final[p] and self.final[q] else []
-            theirs = self.arcs[q]
-            for ch, p2 in self.arcs[p].items():
-                if (q2 := theirs.get(ch)) is not None:
-                    got += [ch + s for s in self.common(p2, q2)]
+            got, steps = [], [(p, q, "")]
+            while steps:
+                p2, q2, s = steps.pop()
+                if self.final[p2] and self.final[q2]:
+                    got.append(s)
+                theirs = self.arcs[q2]
+                for ch, p3 in self.arcs[p2].items():
+                    if (q3 := theirs.get(ch)) is not None:
+                        steps.append((p3, q3, s + ch))
             self._common[p, q] = got
         return got
 
-    def one_edit(self, p: int, q: int, before: str = "") -> Iterator[tuple[str, str]]:
+    def one_edit(self, p: int, q: int) -> Iterator[tuple[str, str]]:
         """The accepted pairs (x, y) of the composition from the states p and
         q before the edit: y is x with one code point replaced by a larger one
         or with one inserted, at the first place where they differ."""
-        left, right = self.arcs[p], self.arcs[q]
-        for b, q2 in right.items():
-            for a, p2 in left.items():
-                if a < b:
-                    for s in self.common(p2, q2):
-                        yield before + a + s, before + b + s
-                if a != b and (q3 := self.arcs[q2].get(a)) is not None:
-                    for s in self.common(p2, q3):
-                        yield before + a + s, before + b + a + s
-            if self.final[p] and self.final[q2]:
-                yield before, before + b
-            if (p2 := left.get(b)) is not None:
-                yield from self.one_edit(p2, q2, before + b)
+        steps = [(p, q, "")]
+        while steps:
+            p, q, s = steps.pop()
+            left = self.arcs[p]
+            for b, q2 in self.arcs[q].items():
+                for a, p2 in left.items():
+                    if a < b:
+                        for t in self.common(p2, q2):
+                            yield s + a + t, s + b + t
+                    if a != b and (q3 := self.arcs[q2].get(a)) is not None:
+                        for t in self.common(p2, q3):
+                            yield s + a + t, s + b + a + t
+                if self.final[p] and self.final[q2]:
+                    yield s, s + b
+                if (p2 := left.get(b)) is not None:
+                    steps.append((p2, q2, s + b))
 
 
 def _compose(affix: str, reverse: bool, left: dict[str, int], right: dict[str, int]) -> Iterator[tuple]:
@@ -225,7 +232,8 @@ def near_words(words: DataFrame, min_length: int = MIN_LENGTH, block_words: int
     state = ["reverse", "m", "affix"]
     large = dealt.groupBy(*state).agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > block_words).select(
         *state, F.ceil(F.col("c") / block_words).cast("int").alias("blocks"))
-    marked = dealt.join(large, state, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    marked = dealt.join(small_side(large, "spelling-large"), state, "left").withColumn(
+        "blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("word"), F.col("blocks").cast("bigint")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     as_left = F.transform(every, lambda j: F.struct(

@@ -488,7 +488,7 @@ def plain_variants(rows, every):
 def test_spelling_variants(spark, docs, nothing):
     rng = np.random.default_rng(5)
     base = ["abcdef", "éabcdeß", "walking", "Talking", "÷×abcd"]
-    texts = [None, "", "short ab", "walking " * 3000]
+    texts = [None, "", "short ab", "walking " * 3000, f"{'ab' * 2500} {'ab' * 2500}c {'ba' + 'ab' * 2499} " * 40]
     for _ in range(300):  # edits of edits, repeated, in upper case, at both ends
         w = list(base[rng.integers(len(base))])
         for _ in range(rng.integers(0, 4)):
