@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.functions.quantiles import exact_percentiles
+from ledgerlake.functions.quantiles import selected_percentiles
 from ledgerlake.functions.windows import running_sums
 from ledgerlake.session import bounded_broadcast, cut_lineage
 
@@ -83,7 +83,8 @@ def reliability(df: DataFrame, y: str = "target", p: str = "probability_of_defau
     empty bins dropped. Inner edges are exact linear quantiles of p."""
     probs = [i / n_bins for i in range(1, n_bins)]
     # n_bins - 1 rows come back to the driver: the edges become literals.
-    edges = [r["q"] for r in exact_percentiles(df, p, probs).orderBy("prob").collect()]
+    found = selected_percentiles(df, {"p": F.col(p)}, probs)
+    edges = [found["p", q] for q in probs if found["p", q] is not None]
     edge_arr = F.array(*[F.lit(float(e)) for e in edges])
     b = F.size(F.filter(edge_arr, lambda e: e <= F.col(p).cast("double")))
     return df.groupBy(b.alias("bin")).agg(

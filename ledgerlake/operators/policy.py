@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import config as C
 from ledgerlake.functions.features import contractual_gain, expected_return
-from ledgerlake.functions.quantiles import exact_percentiles
+from ledgerlake.functions.quantiles import selected_percentiles
 
 
 @dataclass(frozen=True)
@@ -188,14 +188,9 @@ def grade_ab_share(df: DataFrame) -> float:
 
 
 def exact_quantile(df: DataFrame, col: str, q: float) -> float | None:
-    """A-7 core: exact linear-interpolated quantile (numpy 'linear').
-
-    Distributed: distinct values are counted, ranked by bucketed running
-    sums and only the rows holding the two neighbouring ranks are kept, so
-    no task holds all distinct scores.
-    """
-    row = exact_percentiles(df, col, [q]).first()
-    return None if row is None or row["q"] is None else float(row["q"])
+    """A-7 core: exact linear-interpolated quantile (numpy 'linear') by
+    selection: only the values around the wanted rank are ordered."""
+    return selected_percentiles(df, {"x": F.col(col)}, [q])["x", q]
 
 
 def threshold_for_share(df: DataFrame, share: float, score_col: str = "risk_score") -> float:

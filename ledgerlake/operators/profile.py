@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import config as C
 from ledgerlake.functions.features import expected_installment
-from ledgerlake.functions.quantiles import exact_percentiles
+from ledgerlake.functions.quantiles import selected_percentiles
 
 DESCRIBE_COLUMNS = ("annual_inc", "loan_amnt", "dti", "revol_util", "fico_mid", "credit_history_months")
 CATEGORY_COLUMNS = ("purpose", "home_ownership", "verification_status", "initial_list_status")
@@ -90,26 +90,22 @@ def describe(df: DataFrame, columns=DESCRIBE_COLUMNS) -> DataFrame:
     """A-20: count, null_count, mean, sample std, min, quartiles (exact,
     linear interpolation), max per column.
 
-    Quartiles come from the distributed exact quantile (distinct-value
-    counts and bucketed running sums), never from one buffer per column.
+    Quartiles come by selection; all moments of all columns are one aggregate
+    over the unmultiplied rows.
     """
-    long = unpivot(df, columns)
-    v = F.col("value")
-    moments = long.groupBy("column").agg(
-        F.count(v).alias("count"),
-        F.count_if(v.isNull()).alias("null_count"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    )
-    qs = exact_percentiles(long, "value", [0.25, 0.5, 0.75], ["column"])
-    quartiles = qs.groupBy("column").agg(*[
-        F.max(F.when(F.col("prob") == F.lit(q), F.col("q"))).alias(name)
-        for q, name in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))
-    ])
-    # Both sides have one row per described column.
-    return moments.join(quartiles, "column", "left").select(
+    quartiles = {0.25: "q25", 0.5: "median", 0.75: "q75"}
+    found = selected_percentiles(df, {c: F.col(c) for c in columns}, list(quartiles))
+    aggs = {
+        "count": F.count, "null_count": lambda v: F.count_if(v.isNull()), "mean": F.avg, "std": F.stddev_samp,
+        "min": F.min, "max": F.max,
+    }
+    one = df.agg(*[f(F.col(c).cast("double")).alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in aggs.items()])
+    rows = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{name}{i}").alias(name) for name in aggs],
+                 *[F.lit(found[c, q]).cast("double").alias(name) for q, name in quartiles.items()])
+        for i, c in enumerate(columns)
+    ]
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*").select(
         "column", "count", "null_count", "mean", "std", "min", "q25", "median", "q75", "max",
     )
 

@@ -112,3 +112,33 @@ def test_exact_percentiles_equal_numpy(spark, monkeypatch, mode):
     whole = {r["prob"]: r["q"] for r in exact_percentiles(df, "x", [0.5], buckets=5).collect()}
     allv = np.concatenate([a, b, [3.5]])
     assert whole[0.5] == pytest.approx(float(np.quantile(allv, 0.5)), abs=1e-12)
+
+
+@pytest.mark.parametrize("accuracy, bracket_rows", [(2000, 10**6), (20, 5), (8, 1)])
+def test_selected_percentiles_equal_numpy(spark, accuracy, bracket_rows):
+    """Quantiles by selection over several columns at once, with ties, nulls,
+    infinities, one value and none, also when brackets are cut again."""
+    from ledgerlake.functions.quantiles import order_statistics
+
+    rng = np.random.default_rng(6)
+    cols = {
+        "smooth": list(rng.normal(size=900)), "ties": [float(x) for x in rng.integers(0, 4, 900)],
+        "half": [float(x) if x > 0 else None for x in rng.normal(size=900)], "one": [7.5] + [None] * 899,
+        "none": [None] * 900, "two": [1.0, 2.0] * 450, "edge": [float("-inf")] * 3 + list(rng.exponential(size=894)) + [float("inf")] * 3,
+    }
+    df = spark.createDataFrame([tuple(None if v is None else float(v) for v in r) for r in zip(*cols.values())],
+                               ", ".join(f"{c} double" for c in cols)).repartition(5)
+    probs = [0.0, 0.1, 0.5, 0.75, 0.995, 1.0]
+    found = order_statistics(df, {c: F.col(c) for c in cols}, dict.fromkeys(cols, probs), bracket_rows, accuracy)
+    for c, values in cols.items():
+        known = sorted(v for v in values if v is not None)
+        for q in probs:
+            got = found[c, q]
+            if not known:
+                assert got.n == 0 and got.value() is None
+                continue
+            pos = (len(known) - 1) * q
+            assert (got.low, got.high) == (known[int(np.floor(pos))], known[int(np.ceil(pos))])
+            if c != "edge":
+                assert got.value() == pytest.approx(float(np.quantile(known, q)), abs=1e-12)
+                assert got.value(np.exp) == pytest.approx(float(np.quantile(np.exp(known), q)), rel=1e-12)
