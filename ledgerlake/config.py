@@ -170,15 +170,17 @@ class Params:
     seed: int = SEED
     promotion_margin: float = PROMOTION_MARGIN
     logreg_c: tuple[float, ...] = (0.01, 0.1, 1.0)
-    gbt_configs: int = 4
-    gbt_max_iter: int = 60
+    gbt_configs: int = 20
+    gbt_max_iter: int = 2000
+    gbt_patience: int = 100
     gbt_search: dict = field(
         default_factory=lambda: {
-            "maxDepth": [3, 4, 6],
-            "minInstancesPerNode": [20, 50, 100],
+            # leaves (15, 31, 63, 127) and depth limits (none, 4, 6, 8) give these depths
+            "maxDepth": [4, 5, 6, 7],
+            "minInstancesPerNode": [20, 50, 100, 200],
             "subsamplingRate": [0.6, 0.8, 1.0],
             "featureSubsetStrategy": ["0.6", "0.8", "all"],
-            "stepSize": [0.05, 0.1],
+            "stepSize": [0.03, 0.05, 0.1],
         }
     )
 

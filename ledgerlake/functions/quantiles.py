@@ -29,7 +29,7 @@ from ledgerlake.functions.windows import DEFAULT_BUCKETS, running_sums
 from ledgerlake.session import bounded_broadcast, cut_lineage
 
 #: Accuracy of the sketch that brackets a rank: off by n / ACCURACY at most.
-ACCURACY = 2000
+ACCURACY = 500
 #: Rows that a bracket may hold before it is ranked; above it is bracketed again.
 BRACKET_ROWS = 1_000_000
 

@@ -22,60 +22,41 @@ def _clip(p: Column) -> Column:
     return F.least(F.greatest(p, F.lit(EPS)), F.lit(1.0 - EPS))
 
 
-def pointwise(df: DataFrame, y: str = "target", p: str = "probability_of_default", group: list[str] | None = None) -> DataFrame:
-    """n, log loss (p clipped to [eps, 1-eps]) and Brier, per group."""
-    yy, pp = F.col(y).cast("double"), _clip(F.col(p).cast("double"))
-    ll = -(yy * F.log(pp) + (F.lit(1.0) - yy) * F.log(F.lit(1.0) - pp))
-    g = group or []
-    agg = df.groupBy(*g) if g else df
-    return agg.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(ll).alias("log_loss"),
-        F.avg((F.col(p).cast("double") - yy) ** 2).alias("brier"),
-    )
-
-
-def _grouped(df: DataFrame, group):
-    """Aggregates always run per group; a constant key stands in for 'all rows'."""
-    g = list(group or [])
-    if g:
-        return df, g, False
-    return df.withColumn("_all", F.lit(0)), ["_all"], True
-
-
-def ranking(df: DataFrame, y: str = "target", p: str = "probability_of_default", group: list[str] | None = None) -> DataFrame:
-    """Exact ROC-AUC (ties count one half) and average precision per group."""
-    df, g, synthetic = _grouped(df, group)
-    s = F.col(p).cast("double")
-    # one row per (group, distinct score), read by both running sums
-    by_score = cut_lineage(df.groupBy(*g, s.alias("score")).agg(
+def quality(df: DataFrame, y: str = "target", p: str = "probability_of_default", group: list[str] | None = None) -> DataFrame:
+    """M-4 per group: n, log loss (p clipped to [eps, 1-eps]), exact ROC-AUC
+    (ties count one half), PR-AUC (average precision), Brier.
+
+    Rows are reduced once to (group, score, positives, negatives); all five
+    come from that table: the pointwise losses are sums over it, the ranking
+    metrics need the running counts below each score, and the counts at or
+    above it are the totals less those."""
+    g = list(group or []) or ["_all"]
+    base = df if group else df.withColumn("_all", F.lit(0))
+    # one row per (group, distinct score), read by the totals and the running sums
+    by_score = cut_lineage(base.groupBy(*g, F.col(p).cast("double").alias("score")).agg(
         F.sum(F.col(y).cast("long")).alias("pos"),
         F.sum((F.lit(1) - F.col(y)).cast("long")).alias("neg"),
     ))
-    # ascending: negatives strictly below each score (for AUC)
-    asc = running_sums(by_score, ["score"], ["neg"], g, prefix="cum_")
-    # descending: cumulative positives/all at or above each score (for AP)
-    desc = running_sums(
-        by_score.withColumn("nscore", -F.col("score")).withColumn("all", F.col("pos") + F.col("neg")),
-        ["nscore"], ["pos", "all"], g, prefix="cum_",
-    )
-    auc = asc.groupBy(*g).agg(
-        (F.sum((F.col("cum_neg") - F.col("neg")) * F.col("pos") + F.lit(0.5) * F.col("pos") * F.col("neg"))
-         / (F.sum("pos").cast("double") * F.sum("neg").cast("double"))).alias("roc_auc")
+    s, c = F.col("score"), _clip(F.col("score"))
+    all_ = F.col("pos") + F.col("neg")
+    scored = F.sum(F.when(s.isNotNull(), all_))
+    totals = by_score.groupBy(*g).agg(
+        F.sum(all_).alias("n"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n"),
+        (F.sum(-(F.col("pos") * F.log(c) + F.col("neg") * F.log(F.lit(1.0) - c))) / scored).alias("log_loss"),
+        (F.sum(F.col("pos") * (F.lit(1.0) - s) ** 2 + F.col("neg") * s ** 2) / scored).alias("brier"),
     )
-    ap = desc.groupBy(*g).agg(
-        F.when(F.sum("pos") > 0, F.sum(F.col("pos") * (F.col("cum_pos") / F.col("cum_all"))) / F.sum("pos")).alias("pr_auc")
+    below = running_sums(by_score, ["score"], ["pos", "neg"], g, prefix="cum_").join(totals, g)
+    at_or_above = (F.col("_p") - F.col("cum_pos") + F.col("pos"), F.col("_n") - F.col("cum_neg") + F.col("neg"))
+    won = (F.col("cum_neg") - F.col("neg")) * F.col("pos") + F.lit(0.5) * F.col("pos") * F.col("neg")
+    precision = at_or_above[0] / (at_or_above[0] + at_or_above[1])
+    one = lambda name: F.first(name).alias(name)  # noqa: E731 -- the same on every row of a group
+    out = below.groupBy(*g).agg(
+        one("n"), one("log_loss"),
+        (F.sum(won) / (F.first("_p").cast("double") * F.first("_n").cast("double"))).alias("roc_auc"),
+        F.when(F.first("_p") > 0, F.sum(F.col("pos") * precision) / F.first("_p")).alias("pr_auc"),
+        one("brier"),
     )
-    out = auc.join(ap, g)
-    return out.drop("_all") if synthetic else out
-
-
-def quality(df: DataFrame, y: str = "target", p: str = "probability_of_default", group: list[str] | None = None) -> DataFrame:
-    """M-4: n, log loss, ROC-AUC, PR-AUC (average precision), Brier."""
-    df, g, synthetic = _grouped(df, group)
-    out = pointwise(df, y, p, g).join(ranking(df, y, p, g), g)
-    out = out.select(*g, "n", "log_loss", "roc_auc", "pr_auc", "brier")
-    return out.drop("_all") if synthetic else out
+    return out if group else out.drop("_all")
 
 
 def reliability(df: DataFrame, y: str = "target", p: str = "probability_of_default", n_bins: int = 15) -> DataFrame:

@@ -57,6 +57,12 @@ def fold_roles(df: DataFrame, p: C.Params = C.DEFAULT) -> DataFrame:
     return tagged.select("*", "_tag.fold", "_tag.role").drop("_tag")
 
 
+def fold_conditions(p: C.Params = C.DEFAULT) -> dict[int, tuple[Column, Column]]:
+    """F-7 as conditions: fold -> (train side, validation side)."""
+    d = F.col("issue_date")
+    return {i: (d <= F.lit(f.train_end).cast("date"), F.year(d) == f.validate_year) for i, f in enumerate(p.folds, start=1)}
+
+
 def fold_frames(train: DataFrame, p: C.Params = C.DEFAULT) -> list[tuple[int, DataFrame, DataFrame]]:
     """F-7 as DataFrame pairs (used by CV); an empty side raises."""
     out = []
