@@ -8,6 +8,13 @@ if merging the two-token text alone gives those two tokens back (the
 pair-compatibility test, memorised). The ids are then read backwards from the
 end of the word.
 
+The test needs no merging where the merges of both tokens, and those across
+their border, make pieces that rank after their parts: merges then happen in
+the order of their ranks, both tokens are built as they are alone, and the pair
+breaks only if a merge across the border ranks before the one that takes up
+either edge symbol. The edge symbols of a piece and the ranks that take them up
+are found once by merging the piece alone. Other pairs are merged.
+
 Words: no piece has U+2581 after another character, so merges never cross the
 place before a U+2581 that follows another character. Texts are cut there and
 each distinct word is encoded once (a bounded memo of recent words).
@@ -28,8 +35,10 @@ from ledgerlake.llm.common import batch_columns, bounded_batches
 
 SPACE = "▁"
 #: Entries of the word memo (two generations of it are kept) and of the pair memo of a worker.
-MEMO_ENTRIES = 250_000
+MEMO_ENTRIES = 350_000
 PAIR_ENTRIES = 1_000_000
+#: Marks the memo's entry of a word that does not decode to itself.
+ODD = "\0"
 _WORDS = re.compile(" *[^ ]+| +")
 
 
@@ -88,6 +97,28 @@ def merged(text: str, score: dict[str, float]) -> list[str]:
     return [s for s in sym if s is not None]
 
 
+def edges(piece: str, score: dict[str, float]) -> tuple[list, list] | None:
+    """The symbols that stand at the left and at the right edge while
+    ``piece`` is merged alone, each with the score of the merge that takes it
+    up (the whole piece: -inf); None if merging does not give the piece, or
+    not in the order of ranks."""
+    none = float("-inf")
+    sym, now = list(piece), float("inf")
+    left, right = [sym[0]], [sym[-1]]
+    taken: tuple[list[float], list[float]] = ([], [])
+    while len(sym) > 1:
+        best, i = max((score.get(sym[k] + sym[k + 1], none), -k) for k in range(len(sym) - 1))
+        if best == none or best > now:
+            return None
+        now, i = best, -i
+        sym[i:i + 2] = [sym[i] + sym[i + 1]]
+        for side, at, edge in ((0, 0, left), (1, -1, right)):
+            if sym[at] != edge[-1]:
+                edge.append(sym[at])
+                taken[side].append(best)
+    return list(zip(left, [*taken[0], none])), list(zip(right, [*taken[1], none]))
+
+
 class Codec:
     """Encoder and decoder of one task."""
 
@@ -100,9 +131,30 @@ class Codec:
             self.automaton.add_word(piece, (piece, len(piece), {}))
         self.automaton.make_automaton()
         self.pairs = 0
-        self.text_of = [str(i) for i in range(len(pieces.surface))]
-        self.memo: dict[str, tuple[str, int, str]] = {}
-        self.older: dict[str, tuple[str, int, str]] = {}
+        self.id_text = {piece: str(i) for piece, i in pieces.id.items()}
+        self.memo = _Words(self)
+        self.edges: dict[str, tuple | None] = {}
+
+    def _edges(self, piece: str) -> tuple | None:
+        if piece not in self.edges:
+            self.edges[piece] = edges(piece, self.p.score)
+        return self.edges[piece]
+
+    def _compatible(self, before: str, piece: str) -> bool:
+        """Whether merging ``before + piece`` gives these two tokens back."""
+        score = self.p.score
+        own, other = self._edges(piece), self._edges(before) if before else None
+        if own is None or before and other is None:
+            return merged(before + piece, score) == ([before, piece] if before else [piece])
+        broken = False
+        for a, a_taken in other[1] if before else ():
+            for b, b_taken in own[0]:
+                if (across := score.get(a + b)) is not None:
+                    if len(a) > 1 and across > score[a] or len(b) > 1 and across > score[b]:
+                        return merged(before + piece, score) == [before, piece]
+                    # of equal ranks the leftmost merges first: the one in ``before``, then the one across
+                    broken = broken or across > a_taken and across >= b_taken
+        return not broken
 
     def _fits(self, before: str, piece: str, known: dict[str, bool]) -> bool:
         """Pair compatibility; ``before`` is empty at a word's start. ``known``
@@ -112,8 +164,7 @@ class Codec:
             for _, _, other in self.automaton.values():
                 other.clear()
             self.pairs = 0
-        alone = merged(before + piece, self.p.score)
-        got = known[before] = alone == ([before, piece] if before else [piece])
+        got = known[before] = self._compatible(before, piece)
         return got
 
     def word_pieces(self, word: str) -> list[str]:
@@ -121,19 +172,19 @@ class Codec:
         of i characters. The automaton reports the pieces that end at a
         position, longest first; a position without one holds a character
         outside the vocabulary, which stands for itself."""
-        last: list[str] = [""] * (len(word) + 1)
+        last = ["", *word]
+        solved = -1
         for end, (piece, size, known) in self.automaton.iter(word):
-            end += 1
-            if last[end]:
+            if end == solved:
                 continue
-            start = end - size
-            before = (last[start] or word[start - 1]) if start else ""
+            before = last[end + 1 - size]
             good = known.get(before)
             if good or (good is None and self._fits(before, piece, known)):
-                last[end] = piece
+                last[end + 1] = piece
+                solved = end
         out, i = [], len(word)
         while i:
-            piece = last[i] or word[i - 1]
+            piece = last[i]
             out.append(piece)
             i -= len(piece)
         out.reverse()
@@ -155,21 +206,19 @@ class Codec:
         text = b"".join([surface[i] for i in ids]).decode("utf-8", "replace")
         return text[1:] if text.startswith(" ") else text
 
-    def _word(self, word: str) -> tuple[str, int, str]:
-        if (got := self.older.get(word)) is not None:
-            self.memo[word] = got
-            return got
-        if len(self.memo) >= MEMO_ENTRIES:  # words met since the last turn stay one more turn
-            self.older = dict(self.memo)
-            self.memo.clear()
+    def word(self, word: str) -> str:
+        """The ids of one word as text. A word whose ids do not simply decode
+        to itself gets its decoded text too: ``ODD`` ids ``ODD`` text."""
+        pieces = self.word_pieces(word.replace(" ", SPACE))
+        found = [self.id_text.get(piece) for piece in pieces]
+        if None not in found:  # vocabulary pieces only: their surfaces are the word
+            return " ".join(found)
         ids = self.word_ids(word.replace(" ", SPACE))
         surface = self.p.surface
         # A word starts with a blank's piece and ends before one, so the bytes of a character never span two words.
         back = b"".join([surface[i] for i in ids]).decode("utf-8", "replace")
-        got = (" ".join([self.text_of[i] for i in ids]), len(ids), word if back == word else back)
-        if len(word) <= 64:
-            self.memo[word] = got
-        return got
+        text = " ".join([str(i) for i in ids])
+        return text if back == word else f"{ODD}{text}{ODD}{back}"
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -182,11 +231,37 @@ class Codec:
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """(number of ids, ids as text, decoded text)."""
+        words = self.words(text)
+        if not words:
+            return 1, str(self.p.eos), ""
         memo = self.memo
-        parts = [memo.get(w) or self._word(w) for w in self.words(text)]
-        ids = " ".join([p[0] for p in parts] + [str(self.p.eos)])
-        back = "".join([p[2] for p in parts])
-        return sum([p[1] for p in parts]) + 1, ids, back[1:] if back.startswith(" ") else back
+        parts = [memo[w] for w in words]
+        ids = " ".join(parts)
+        if ODD in ids:
+            split = [p.split(ODD, 2) if p.startswith(ODD) else (None, p, w) for p, w in zip(parts, words)]
+            ids, words = " ".join([s[1] for s in split]), [s[2] for s in split]
+        back = "".join(words)
+        return ids.count(" ") + 2, f"{ids} {self.p.eos}", back[1:] if back.startswith(" ") else back
+
+
+class _Words(dict):
+    """The memo of words: when full, words met since the last turn stay one
+    more turn. Long words are not kept."""
+
+    def __init__(self, codec: Codec):
+        super().__init__()
+        self.codec, self.older = codec, {}
+
+    def __missing__(self, word: str) -> str:
+        if (got := self.older.get(word)) is None:
+            got = self.codec.word(word)
+            if len(word) > 64:
+                return got
+        if len(self) >= MEMO_ENTRIES:
+            self.older = dict(self)
+            self.clear()
+        self[word] = got
+        return got
 
 
 #: One codec a Python worker: its memos serve the worker's next tasks too.
