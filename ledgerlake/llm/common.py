@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ledgerlake.session import session_folder
 
@@ -18,7 +19,8 @@ ASCII_SPACE = b" \t\n\x0b\x0c\r"
 #: below Spark's default of 10,000 rows: a few hundred long texts fit a worker.
 ARROW_BATCH_ROWS = 512
 
-_ARROW = {
+#: Arrow types by Spark's names of them.
+ARROW = {
     "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(),
     "boolean": pa.bool_(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64()),
     "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32()),
@@ -31,6 +33,11 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_BATCH_ROWS))
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and back-quotes included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def stage_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the shared checkpoint folder."""
     return session_folder(spark, f"llm/{name}-{uuid.uuid4().hex[:10]}")
@@ -69,22 +76,22 @@ def batch_columns(
     ``keep`` columns pass through as they are (nulls and 64-bit ids stay
     exact); ``make()`` runs once a task and gives a function from the lists of
     the ``use`` columns to a dict of equally long lists, typed by ``out``."""
-    cols = list(dict.fromkeys(keep + use))
-    picked = df.select(*cols)
-    kinds = {f.name: f.dataType.simpleString() for f in picked.schema.fields}
-    ddl = ", ".join([f"`{k}` {kinds[k]}" for k in keep] + [f"`{k}` {v}" for k, v in out.items()])
+    place = {c: f"c{i}" for i, c in enumerate(dict.fromkeys(keep + use))}  # names that no job trips over
+    picked = df.select(*[named(c).alias(p) for c, p in place.items()])
+    made = StructType.fromDDL(", ".join(f"r{i} {v}" for i, v in enumerate(out.values())))
+    schema = StructType([picked.schema[place[k]] for k in keep] + made.fields)
 
     def run(batches):
         fn = make()
         for b in batches:
-            got = fn(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in use])
+            got = fn(*[b.column(b.schema.get_field_index(place[c])).to_pylist() for c in use])
             yield pa.RecordBatch.from_arrays(
-                [b.column(b.schema.get_field_index(k)) for k in keep]
-                + [pa.array(got[k], type=_ARROW[v]) for k, v in out.items()],
-                names=keep + list(out),
+                [b.column(b.schema.get_field_index(place[k])) for k in keep]
+                + [pa.array(got[k], type=ARROW[v]) for k, v in out.items()],
+                names=schema.names,
             )
 
-    return picked.mapInArrow(run, ddl)
+    return picked.mapInArrow(run, schema).toDF(*keep, *out)
 
 
 def id_remainder(doc_id: Column, modulus: int) -> Column:

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import bounded_batches, stored
+from ledgerlake.llm.common import ARROW, bounded_batches, stored
 
 UNIT_WORDS = 64
 STRIDE = 64
@@ -305,6 +305,8 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     item_kind = benchmark.schema["item_id"].dataType.simpleString()
+    if item_kind not in ARROW:  # ids of other kinds come back as text
+        benchmark, item_kind = benchmark.withColumn("item_id", F.col("item_id").cast("string")), "string"
 
     def scan(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +314,7 @@ def hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 found = leaks(shared.value, b.column(1).to_pylist()) if shared.value else []
                 cols = list(zip(*found)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int64()),
+                    [b.column(0).take(pa.array(cols[0], pa.int64())), pa.array(cols[1], ARROW[item_kind]),
                      *(pa.array(c, pa.float64()) for c in cols[2:])],
                     names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import ASCII_SPACE, batch_columns, bounded_batches, fresh_name, stage_folder, stored
+from ledgerlake.llm.common import ASCII_SPACE, batch_columns, bounded_batches, fresh_name, named, stage_folder, stored
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -139,8 +139,10 @@ def with_drops(docs: DataFrame, name: str, min_docs: int = MIN_DOCS, batches: in
     repeated = stored(repeated, "repeated-lines")  # a plain shuffle on this side lets AQE split a hot line on the other
     held = line_keys(docs).join(repeated.select("h", "last_doc").hint("merge"), "h")
     held = held.filter(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("last_doc")))
-    drops = held.groupBy(F.col("doc_id").alias("_drop_id")).agg(F.collect_set("h").alias(name))
-    return docs.join(drops, docs["doc_id"].eqNullSafe(drops["_drop_id"]), "left").drop("_drop_id")
+    key = fresh_name(docs, "_drop_id")
+    drops = held.groupBy(F.col("doc_id").alias(key)).agg(F.collect_set("h").alias(name))
+    met = docs.join(drops, docs["doc_id"].eqNullSafe(drops[key]), "left")
+    return met.select(*[named(c) for c in docs.columns], name)
 
 
 def kept_lines(text: str | None, drop: list[bytes] | None) -> tuple[int, int, str]:
@@ -164,7 +166,8 @@ def deduplicate(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHE
         return lambda texts, drops: {
             "text": [t if t is None or not d else kept_lines(t, d)[2] for t, d in zip(texts, drops)]}
 
-    return batch_columns(marked, others, ["text", name], make, {"text": "string"}).select(*docs.columns)
+    return batch_columns(marked, others, ["text", name], make, {"text": "string"}).select(
+        *[named(c) for c in docs.columns])
 
 
 def line_digests(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batch_columns, bounded_batches, stored
+from ledgerlake.llm.common import batch_columns, bounded_batches, named, stored
 from ledgerlake.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -115,7 +115,7 @@ def features(docs: DataFrame, size: int) -> DataFrame:
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     base = docs.select(
         F.monotonically_increasing_id().alias("rid"), "doc_id", "text",
-        *([F.struct(*[F.col(f"`{c}`") for c in others]).alias("row")] if others else []))
+        *([F.struct(*[named(c) for c in others]).alias("row")] if others else []))
 
     def make():
         hashes = _Hashes()
@@ -306,4 +306,4 @@ def distinct_documents(docs: DataFrame, size: int = SHINGLE_WORDS, pct: int = MI
     stay = first.groupBy("comp").agg(F.min("rid").alias("rid")).select("rid").unionByName(
         labels.filter("n = 0").select("rid"))
     kept = rows.join(stay, "rid")
-    return kept.select(*[F.col(f"`{c}`") if c in ("doc_id", "text") else F.col(f"row.`{c}`") for c in docs.columns])
+    return kept.select(*[named(c) if c in ("doc_id", "text") else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -206,7 +206,29 @@ def test_sentencepiece_matches_the_library(docs, nothing):
     parts = ["a", "in", " ", "  ", "\n", "é", "门", "😀", "▁", "the", "\x00", "aaa"]
     for _ in range(500):
         t = "".join(rng.choice(parts, rng.integers(0, 20)))
-        assert codec.encode(t) == lib.encode(t, add_eos=True), repr(t)
+        ids = lib.encode(t, add_eos=True)
+        assert codec.encode(t) == ids, repr(t)
+        assert codec.digest(t) == (len(ids), " ".join(map(str, ids)), lib.decode(ids)), repr(t)
+    pieces = list(codec.p.id)
+    for a, b in zip(rng.choice(pieces, 5000), rng.choice(pieces, 5000)):  # edges decide as merging does
+        assert codec._compatible(a, b) == (sentencepiece_codec.merged(a + b, codec.p.score) == [a, b])
+
+
+def test_clashing_and_dotted_column_names(spark):
+    """Extra columns with names that the operators use themselves, with dots
+    and back-quotes, pass through as they are."""
+    rows = [(d, t, f"x{i}", i, None, f"z{i}") for i, (d, t, _) in enumerate(ROWS)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _drop_id string, `a.b` int, `c``d` string, row string")
+    lines = line_runs.deduplicate(docs)
+    assert lines.columns == docs.columns
+    assert sorted(r[3] for r in lines.collect()) == list(range(len(rows)))
+    assert {r[3]: r[2] for r in lines.collect()} == {r[3]: r[2] for r in rows}
+    kept = near_duplicates.distinct_documents(docs)
+    assert kept.columns == docs.columns
+    assert {tuple(r) for r in kept.collect()} <= {tuple(r) for r in docs.collect()}
+    items = spark.createDataFrame([("q1", ITEM), (None, None)], "item_id string, text string")
+    found = decontaminate.hits(docs, items).collect()
+    assert found and {r["item_id"] for r in found} == {"q1"}
 
 
 def test_toxicity(spark, docs, nothing):
