@@ -10,8 +10,8 @@ Scale notes
   the first grid point that funds it, one partial aggregate produces at most
   117 buckets, and running sums over the 116-point grid give the curve.
 * The bootstrap uses Poisson(1) weights drawn from a hash of (loan, draw): no
-  row is moved or copied to a driver; each partition aggregates its own
-  weighted sums per draw, so the shuffle is draws x partitions small rows.
+  row is moved, copied or multiplied; each task sums its own weighted amounts
+  per draw, so the shuffle is draws x tasks small rows.
 """
 
 from __future__ import annotations
@@ -275,30 +275,53 @@ def poisson_weight(u: Column) -> Column:
     return expr
 
 
+#: Loans times draws that a task weighs at a time (bounds its memory).
+WEIGHTS_AT_ONCE = 1 << 21
+
+
 def bootstrap_differences(df: DataFrame, comparisons: dict[str, tuple[str, str]], draws: int,
                           seed: int, key_col: str = "loan_id") -> DataFrame:
     """A-9: per-draw return difference for each comparison (a vs b).
 
     ``comparisons`` maps a name to two boolean columns of ``df``. The result
-    has one row per (comparison, draw).
-    """
+    has one row per (comparison, draw). A task makes the weights of its loans
+    (numpy, a bounded block at a time) and sums them into draws x policies
+    numbers: no row is multiplied by the draws, and each task sends one row a
+    draw into the shuffle. A null amount or flag counts as zero."""
+    import numpy as np
+    import pyarrow as pa
+
     policies = sorted({c for pair in comparisons.values() for c in pair})
     s, t = draw_seeds(F.concat_ws("-", F.lit(str(seed)), F.col(key_col)))
-    seeded = df.select("funded_amnt", "realized_profit", *policies, s.alias("_s"), t.alias("_t"))
-    draw = F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw")
-    base = seeded.select("*", draw)
-    w = poisson_weight(draw_uniform(F.col("_s"), F.col("_t"), F.col("draw")))
-    base = base.withColumn("w", w.cast("double"))
-    aggs = []
-    for pol in policies:
-        f = F.col(pol)
-        aggs.append(F.sum(F.when(f, F.col("w") * F.col("funded_amnt")).otherwise(F.lit(0.0))).alias(f"{pol}__cap"))
-        aggs.append(F.sum(F.when(f, F.col("w") * F.col("realized_profit")).otherwise(F.lit(0.0))).alias(f"{pol}__pro"))
-    per_draw = base.groupBy("draw").agg(*aggs)
+    funded = lambda p, amount: F.coalesce(F.when(F.col(p), F.col(amount).cast("double")), F.lit(0.0))
+    values = [funded(p, amount) for p in policies for amount in ("funded_amnt", "realized_profit")]
+    seeded = df.select(s.alias("s"), t.alias("t"), F.array(*values).alias("v"))
+    cdf, width = np.array(_poisson_cdf(POISSON_KMAX)), len(values)
+
+    def run(batches):
+        total = np.zeros((draws, width))
+        seen = False
+        for b in batches:
+            seen = seen or b.num_rows > 0
+            starts, steps = b.column(0).to_numpy(), b.column(1).to_numpy()
+            v = b.column(2).flatten().to_numpy().reshape(-1, width)
+            block = max(1, WEIGHTS_AT_ONCE // draws)
+            for i in range(0, len(starts), block):
+                x = (starts[i:i + block, None] + np.arange(draws)[None, :] * steps[i:i + block, None]) % DRAW_MODULUS
+                weights = np.searchsorted(cdf, x / float(DRAW_MODULUS), side="right").astype(np.float64)
+                total += weights.T @ v[i:i + block]
+        if seen:
+            flat = pa.array(total.ravel())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(draws, dtype=np.int32)), pa.ListArray.from_arrays(np.arange(0, total.size + 1, width, dtype=np.int32), flat)],
+                names=["draw", "sums"])
+
+    parts = seeded.mapInArrow(run, "draw int, sums array<double>")
+    per_draw = parts.groupBy("draw").agg(*[F.sum(F.col("sums")[i]).alias(f"v{i}") for i in range(width)])
 
     def ret(pol: str) -> Column:
-        cap = F.col(f"{pol}__cap")
-        return F.when(cap != 0, F.col(f"{pol}__pro") / cap).otherwise(F.lit(0.0))
+        i = 2 * policies.index(pol)
+        return F.when(F.col(f"v{i}") != 0, F.col(f"v{i + 1}") / F.col(f"v{i}")).otherwise(F.lit(0.0))
 
     rows = [
         F.struct(F.lit(name).alias("comparison"), (ret(a) - ret(b)).alias("difference"))

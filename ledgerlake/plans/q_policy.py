@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerlake import config as C
 from ledgerlake.functions.features import breakeven_probability, derive_features, expected_installment
 from ledgerlake.functions.features import credit_policy_columns
-from ledgerlake.operators import policy, splits
+from ledgerlake.operators import evaluate, policy, splits
 from ledgerlake.plans import oracle_sql as S
 from ledgerlake.plans.registry import money, ratio, register
 from ledgerlake.plans.stages import Stages, add_scores
@@ -327,22 +327,110 @@ def ratio_col(c, name, digits):
 
 # --- A-9 ------------------------------------------------------------------------
 
-COMPARISONS = {
-    "threshold_vs_fund_all": ("threshold", "fund_all"),
-    "threshold_vs_grade_AB": ("threshold", "grade_AB"),
-    "matched_vs_grade_AB": ("matched_to_grade_AB", "grade_AB"),
-}
+FAMILIES = ("closed_form", "grade_prior")
+COMPARISONS = evaluate.comparisons(*FAMILIES)
+_PRIOR = """rates AS (SELECT grade, avg(CAST(target AS DOUBLE)) AS prior FROM scored WHERE split = 'train' GROUP BY grade),
+  overall AS (SELECT avg(CAST(target AS DOUBLE)) AS prior FROM scored WHERE split = 'train')"""
+
+
+def _family_rows(src: str) -> str:
+    """The long table of both families over ``src``."""
+    return f"""SELECT *, 'closed_form' AS family FROM {src}
+  UNION ALL SELECT s.* REPLACE (coalesce(r.prior, (SELECT prior FROM overall)) AS risk_score), 'grade_prior'
+  FROM {src} s LEFT JOIN rates r ON s.grade = r.grade"""
+
+
+def _family_ctes() -> list[str]:
+    """Tuned thresholds by family, and the long test table with its flags."""
+    fund = "CASE WHEN risk_score < threshold THEN {} END"
+    ev = "((1 - risk_score) * gain * (SELECT prepay_factor FROM pm) - risk_score * (SELECT lgd FROM pm) * funded_amnt) > 0"
+    return [
+        *S.base(P), PM_CTE, _PRIOR, tune_cte(), CURVE_CTES[0],
+        f"ftune AS ({_family_rows('tune')})",
+        f"""fcurve AS (
+  SELECT family, threshold, count(*) FILTER (WHERE risk_score < threshold) / count(*) AS share_funded,
+    coalesce(sum({fund.format('realized_profit')}), 0e0) AS profit, coalesce(sum({fund.format('funded_amnt')}), 0e0) AS capital
+  FROM grid, ftune GROUP BY family, threshold)""",
+        f"""fchosen AS (
+  SELECT family, threshold FROM (SELECT *, CASE WHEN capital <> 0 THEN profit / capital ELSE 0e0 END AS rpd FROM fcurve)
+  WHERE share_funded >= {C.MIN_SHARE_FUNDED}e0
+  QUALIFY row_number() OVER (PARTITION BY family ORDER BY {S.rhu('rpd', 10)} DESC, threshold ASC) = 1)""",
+        MATCHED_CTES[0],
+        "ford AS (SELECT family, risk_score, row_number() OVER (PARTITION BY family ORDER BY risk_score) - 1 AS i, count(*) OVER (PARTITION BY family) AS n FROM ftune)",
+        "fpos AS (SELECT family, (SELECT s FROM share) * (max(n) - 1) AS p FROM ford GROUP BY family)",
+        """fmatched AS (
+  SELECT q.family, lo.risk_score + (hi.risk_score - lo.risk_score) * (q.p - floor(q.p)) AS matched_threshold
+  FROM fpos q JOIN ford lo ON lo.family = q.family AND lo.i = CAST(floor(q.p) AS BIGINT)
+  JOIN ford hi ON hi.family = q.family AND hi.i = CAST(ceil(q.p) AS BIGINT))""",
+        "test AS (SELECT * FROM scored WHERE split = 'test')",
+        f"ftest AS ({_family_rows('test')})",
+        f"""flags AS (
+  SELECT t.*, {ev} AS expected_value, risk_score < c.threshold AND {ev} AS threshold,
+    risk_score < m.matched_threshold AND {ev} AS matched_to_grade_AB, true AS fund_all, grade IN ('A', 'B') AS grade_AB
+  FROM ftest t JOIN fchosen c ON t.family = c.family JOIN fmatched m ON t.family = m.family)""",
+    ]
+
+
+def _sql_family_thresholds():
+    return S.with_ctes(*_family_ctes(), select=f"""
+SELECT family, {S.rhu('threshold', 6)} AS threshold, {S.rhu('matched_threshold', 9)} AS matched_threshold,
+  {S.rhu('(SELECT s FROM share)', 6)} AS matched_share,
+  {S.rhu('coalesce((SELECT max(risk_score) FROM ftune t WHERE t.family = c.family AND t.risk_score < c.threshold), 0e0)', 6)} AS risk_at_threshold
+FROM fchosen c JOIN fmatched USING (family)""")
+
+
+@register("family_thresholds", _sql_family_thresholds)
+def q_family_thresholds(spark, sf_dir):
+    """A-6 .. A-8 of every family, tuned together on the tuning rows."""
+    rows = [(f, t.threshold, t.matched_threshold, t.matched_share, t.risk_at_threshold)
+            for f, t in Stages(spark, sf_dir).tuned_families.items()]
+    df = spark.createDataFrame(rows, "family string, threshold double, matched_threshold double, matched_share double, risk_at_threshold double")
+    return df.select("family", ratio("threshold"), ratio("matched_threshold", digits=9), ratio("matched_share"), ratio("risk_at_threshold"))
+
+
+def _sql_family_policies():
+    parts = []
+    for name in ("expected_value", "threshold", "matched_to_grade_AB", "fund_all", "grade_AB"):
+        base = name in ("fund_all", "grade_AB")
+        family, keep = ("'baseline'", "WHERE family = 'closed_form'") if base else ("family", "")
+        parts.append(f"""SELECT {family} AS family, '{name}' AS policy, count(*) FILTER (WHERE {name}) AS n, count(*) AS rows_,
+  coalesce(sum(CASE WHEN {name} THEN funded_amnt END), 0e0) AS capital,
+  coalesce(sum(CASE WHEN {name} THEN realized_profit END), 0e0) AS profit,
+  coalesce(sum(CASE WHEN {name} THEN CAST(target AS DOUBLE) END), 0e0) AS defaults FROM flags {keep} GROUP BY 1""")
+    return S.with_ctes(*_family_ctes(), f"pol AS ({' UNION ALL '.join(parts)})", select=f"""
+SELECT family, policy, n AS loans_funded, {S.rhu('n / rows_', 6)} AS share_funded, {S.rhu('capital', 2)} AS capital_invested,
+       {S.rhu('profit', 2)} AS total_profit, {S.rhu('CASE WHEN capital <> 0 THEN profit / capital ELSE 0e0 END', 6)} AS return_per_dollar,
+       {S.rhu('CASE WHEN n > 0 THEN defaults / n ELSE 0e0 END', 6)} AS default_rate_funded
+FROM pol""")
+
+
+@register("family_policies", _sql_family_policies)
+def q_family_policies(spark, sf_dir):
+    """M-13, A-4: the test year scored once by every family; all families'
+    policies and the baselines in one grouped aggregate."""
+    st = Stages(spark, sf_dir)
+    res = evaluate.evaluate(st.families(st.test), st.tuned_families, st.profit)
+    return res.select("family", "policy", "loans_funded", ratio("share_funded"), money("capital_invested"), money("total_profit"),
+                      ratio("return_per_dollar"), ratio("default_rate_funded"))
+
+
+#: Cumulated Poisson(1) probabilities, to the 13th (fixed by the distribution).
+def _poisson_steps() -> list[float]:
+    out, term, total = [], 2.718281828459045 ** -1, 0.0
+    for k in range(14):
+        total += term
+        out.append(total)
+        term /= k + 1
+    return out
 
 
 def _sql_bootstrap():
-    M = policy.DRAW_MODULUS
-    defs = _policy_defs()
-    cdf = policy._poisson_cdf(policy.POISSON_KMAX)
-    case = "CASE " + " ".join(f"WHEN u < {v!r}e0 THEN {k}" for k, v in enumerate(cdf)) + f" ELSE {policy.POISSON_KMAX + 1} END"
-    flags = ", ".join(f"({cond}) AS p_{name}" for name, cond in defs.items())
+    M = 2**31 - 1
+    case = "CASE " + " ".join(f"WHEN u < {v!r}e0 THEN {k}" for k, v in enumerate(_poisson_steps())) + " ELSE 14 END"
     pols = sorted({c for pair in COMPARISONS.values() for c in pair})
+    by_loan = ", ".join(f"bool_or(family = '{f}' AND {p}) AS {f}_{p}" for f in FAMILIES for p in ("threshold", "matched_to_grade_AB"))
     sums = ", ".join(
-        f"sum(CASE WHEN p_{p} THEN w*funded_amnt ELSE 0e0 END) AS cap_{p}, sum(CASE WHEN p_{p} THEN w*realized_profit ELSE 0e0 END) AS pro_{p}"
+        f"sum(CASE WHEN {p} THEN w*funded_amnt ELSE 0e0 END) AS cap_{p}, sum(CASE WHEN {p} THEN w*realized_profit ELSE 0e0 END) AS pro_{p}"
         for p in pols
     )
 
@@ -354,10 +442,12 @@ def _sql_bootstrap():
         for name, (a, b) in COMPARISONS.items()
     )
     return S.with_ctes(
-        *policy_ctes(),
-        f"""flagged AS (SELECT loan_id, funded_amnt, realized_profit, {flags},
+        *_family_ctes(),
+        f"""loans_ AS (SELECT loan_id, any_value(funded_amnt) AS funded_amnt, any_value(realized_profit) AS realized_profit,
+  true AS fund_all, bool_or(grade_AB) AS grade_AB, {by_loan} FROM flags GROUP BY loan_id)""",
+        f"""flagged AS (SELECT *,
   ('0x' || substr(md5('{P.seed}-' || loan_id), 1, 8))::BIGINT % {M} AS s,
-  ('0x' || substr(md5('{P.seed}-' || loan_id), 9, 8))::BIGINT % {M - 1} + 1 AS t FROM test)""",
+  ('0x' || substr(md5('{P.seed}-' || loan_id), 9, 8))::BIGINT % {M - 1} + 1 AS t FROM loans_)""",
         f"draws AS (SELECT range AS draw FROM range({P.bootstrap_draws}))",
         f"""weighted AS (
   SELECT f.*, d.draw, CAST((f.s + d.draw * f.t) % {M} AS DOUBLE) / {float(M)!r}e0 AS u
@@ -374,9 +464,9 @@ FROM diffs GROUP BY comparison""")
 
 @register("bootstrap_ci", _sql_bootstrap)
 def q_bootstrap(spark, sf_dir):
+    """A-9: all five paired comparisons of the two families and baselines."""
     st = Stages(spark, sf_dir)
-    test, cols = st.test_policies()
-    flagged = test.select("loan_id", "funded_amnt", "realized_profit", *[c.alias(n) for n, c in cols.items()])
+    flagged = evaluate.paired_flags(st.families(st.test), st.tuned_families, st.profit)
     diffs = policy.bootstrap_differences(flagged, COMPARISONS, P.bootstrap_draws, P.seed)
     return policy.bootstrap_summary(diffs).select(
         "comparison", ratio("mean_difference"), ratio("ci_low"), ratio("ci_high"), ratio("prob_better"), "draws"

@@ -111,6 +111,33 @@ class Stages:
             "calibrated_risk_at_threshold": policy.risk_at_threshold(tune, thr),
         }
 
+    # --- two families that SQL can score too --------------------------------
+
+    def scorers(self) -> dict:
+        """The closed form and the grade prior of the train rows."""
+        from ledgerlake.operators import metrics
+
+        rates, overall = metrics.fit_grade_prior(self.train)
+
+        def prior(df: DataFrame) -> DataFrame:
+            scored = metrics.predict_grade_prior(df, rates, overall, out="risk_score")
+            return scored.withColumn("probability_of_default", F.col("risk_score"))
+
+        return {"closed_form": add_scores, "grade_prior": prior}
+
+    def families(self, df: DataFrame) -> DataFrame:
+        from ledgerlake.operators import evaluate
+
+        kept = ["loan_id", "grade", "grade_idx", "fico_mid", "loan_to_income", "target", "funded_amnt", "realized_profit",
+                "installment", "term_months"]
+        return evaluate.long_scores(df.select(*kept), self.scorers())
+
+    @cached_property
+    def tuned_families(self) -> dict:
+        from ledgerlake.operators import evaluate
+
+        return evaluate.tune(self.families(self.calib_tune[1]), ["closed_form", "grade_prior"])
+
     def decided(self, df: DataFrame) -> DataFrame:
         """P-17 with the tuned threshold and the train profit model (serving
         amount: loan_amnt)."""
