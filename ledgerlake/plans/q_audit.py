@@ -135,3 +135,59 @@ def q_gate(spark, sf_dir):
     returns = gate.bundle_returns(cand.select(*cols).unionByName(champ.select(*cols)))
     d = gate.promotion_decision(returns, P.promotion_margin)
     return d.select("promote", ratio("candidate_return"), ratio("champion_return"), "margin", "reason")
+
+
+# --- S-6, G-1, G-2 on saved bundles ----------------------------------------------------------
+
+#: (case, bundle that is champion before, candidate); the margin decides between them.
+GATE_CASES = (("first", None, "grade_prior"), ("better", "grade_prior", "closed_form"), ("worse", "closed_form", "grade_prior"),
+              ("same", "closed_form", "closed_form"))
+
+
+def _sql_gate_cases():
+    from ledgerlake.plans.q_policy import _family_ctes
+
+    ev = "((1 - risk_score) * gain * (SELECT prepay_factor FROM pm) - risk_score * (SELECT lgd FROM pm) * funded_amnt) > 0"
+    fund = f"risk_score < threshold AND {ev}"
+    values = ", ".join(f"('{case}', {'NULL' if h is None else repr(h)}, '{c}')" for case, h, c in GATE_CASES)
+    return S.with_ctes(
+        *_family_ctes(),
+        f"""ret AS (SELECT family, CASE WHEN coalesce(sum(CASE WHEN {fund} THEN funded_amnt END), 0e0) <> 0
+    THEN sum(CASE WHEN {fund} THEN realized_profit END) / sum(CASE WHEN {fund} THEN funded_amnt END) ELSE 0e0 END AS r
+  FROM ftune JOIN fchosen USING (family) GROUP BY family)""",
+        f"cases(gate_case, champion, candidate) AS (VALUES {values})",
+        f"""d AS (SELECT gate_case, champion, candidate, c.r AS candidate_return, h.r AS champion_return,
+    champion IS NULL OR c.r - h.r > {P.promotion_margin} AS promote
+  FROM cases JOIN ret c ON c.family = candidate LEFT JOIN ret h ON h.family = champion)""",
+        select=f"""
+SELECT gate_case, promote, {S.rhu('candidate_return', 6)} AS candidate_return, {S.rhu('champion_return', 6)} AS champion_return,
+  CASE WHEN promote THEN candidate ELSE champion END AS champion_after FROM d""")
+
+
+@register("gate_cases", _sql_gate_cases)
+def q_gate_cases(spark, sf_dir):
+    """G-1, G-2 on bundles saved in, and loaded from, a registry in the shared
+    folder: no champion yet, a better, a worse and an equal candidate."""
+    import uuid
+
+    from ledgerlake.plans.stages import add_scores
+    from ledgerlake.session import session_folder
+    from ledgerlake.sources.io import BundleMetadata
+    from ledgerlake.sources.registry import BundleRegistry, rate_scorer
+
+    st = Stages(spark, sf_dir)
+    grades = st.train.groupBy("grade").agg(F.avg(F.col("target").cast("double")).alias("r"))
+    rates = {r["grade"]: r["r"] for r in grades.collect()} | {"": float(st.train.agg(F.avg(F.col("target").cast("double"))).first()[0])}
+    expressions = {"closed_form": lambda _: add_scores, "grade_prior": rate_scorer("grade")}
+    tune = st.calib_tune[1]
+    rows = []
+    for case, champion, candidate in GATE_CASES:
+        registry = BundleRegistry(spark, session_folder(spark, f"registry-{uuid.uuid4().hex[:10]}"))
+        for turn, family in enumerate([champion, candidate] if champion else [candidate]):
+            t = st.tuned_families[family]
+            meta = BundleMetadata(family, t.threshold, t.risk_at_threshold, st.profit.lgd, st.profit.prepay_factor,
+                                  rates=rates if family == "grade_prior" else {})
+            found = registry.gate(registry.add(f"{turn}-{family}", meta), tune, P.promotion_margin, expressions)
+        rows.append((case, found["promote"], found["candidate_return"], found["champion_return"], registry.champion().split("-", 1)[1]))
+    df = spark.createDataFrame(rows, "gate_case string, promote boolean, candidate_return double, champion_return double, champion_after string")
+    return df.select("gate_case", "promote", ratio("candidate_return"), ratio("champion_return"), "champion_after")

@@ -95,6 +95,8 @@ class BundleMetadata:
     train_window: dict[str, str] = field(default_factory=dict)
     cv_log_loss: float | None = None
     test_return_per_dollar: float | None = None
+    #: Families without a fitted model: rate per level ("" for all others).
+    rates: dict[str, float] = field(default_factory=dict)
     schema_version: int = 1
 
 
@@ -120,15 +122,18 @@ def save_bundle(spark: SparkSession, path: str, meta: BundleMetadata, stats, mod
     if last is not None and not force:
         raise FileExistsError(f"bundle already exists at {root}; pass force=True to replace it")
     version = uuid.uuid4().hex
-    model.write().save(f"{root}/versions/{version}/model")
-    calibrator.write().save(f"{root}/versions/{version}/calibrator")
-    row = (last["seq"] + 1 if last else 1, version, json.dumps(asdict(meta), sort_keys=True), stats.to_json())
+    for name, part in (("model", model), ("calibrator", calibrator)):
+        if part is not None:
+            part.write().save(f"{root}/versions/{version}/{name}")
+    row = (last["seq"] + 1 if last else 1, version, json.dumps(asdict(meta), sort_keys=True),
+           stats.to_json() if stats is not None else None)
     spark.createDataFrame([row], _METADATA).coalesce(1).write.mode("append").json(f"{root}/metadata")
     return root
 
 
 def load_bundle(spark: SparkSession, path: str, model_class, calibrator_class):
-    """Read the bundle back: (metadata, prep stats, model, calibrator)."""
+    """Read the bundle back: (metadata, prep stats, model, calibrator); the
+    last three are None where the family has none."""
     from ledgerlake.operators.preprocess import PrepStats
 
     root = path.rstrip("/")
@@ -137,5 +142,6 @@ def load_bundle(spark: SparkSession, path: str, model_class, calibrator_class):
         raise FileNotFoundError(f"no bundle at {root}")
     version = f"{root}/versions/{row['version']}"
     meta = BundleMetadata(**json.loads(row["metadata"]))
-    stats = PrepStats.from_json(row["prep_stats"])
-    return meta, stats, model_class.load(f"{version}/model"), calibrator_class.load(f"{version}/calibrator")
+    stats = PrepStats.from_json(row["prep_stats"]) if row["prep_stats"] else None
+    model = model_class.load(f"{version}/model") if model_class is not None else None
+    return meta, stats, model, calibrator_class.load(f"{version}/calibrator") if calibrator_class is not None else None
