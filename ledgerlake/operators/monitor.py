@@ -4,15 +4,9 @@ All months are handled in ONE job keyed by ``batch``; nothing loops over
 months on the driver.
 
 Numeric drift (D-2) is the normed Wasserstein-1 distance between each month
-and the reference, computed without copying the reference once per month:
-
-* the reference CDF ``F`` and its integral ``H(x) = F(x)*x - S(x)``
-  (``S`` = running mean of reference values up to x) are prefix sums over the
-  merged set of reference and production values (range-bucketed running sums);
-* each month contributes one interval per distinct value ``[c_j, c_{j+1})``
-  on which its own CDF is the constant ``k``; the integral of ``|F - k|`` over
-  it is ``H(b)-H(a) - k(b-a) + 2*max(0, k(m-a) - (H(m)-H(a)))`` where ``m``
-  is where ``F`` first reaches ``k`` (an as-of lookup on the CDF axis).
+and the reference, computed without copying the reference once per month: the
+reference is profiled once, and ranges of values are integrated in tasks of
+their own (``numeric_drift``).
 
 Categorical drift (D-3) is the Jensen-Shannon distance (natural log); levels
 seen only in the reference contribute ``p*ln 2`` each, which is summed from
@@ -22,12 +16,12 @@ the reference shares without expanding them per month.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake import config as C
-from ledgerlake.functions.windows import carry, running_sums
 from ledgerlake.session import cut_lineage, round_half_up
 
 
@@ -52,83 +46,182 @@ def _long(df: DataFrame, columns, keep=(), numeric=True) -> DataFrame:
 
 # --- D-2 ------------------------------------------------------------------------
 
-def numeric_drift(reference: DataFrame, current: DataFrame, columns, batch: str = "batch") -> DataFrame:
+#: Rows of a range of values, on average; a column has so many ranges, at least RANGES.
+ROWS_PER_RANGE = 500_000
+RANGES = 16
+
+
+@dataclass(frozen=True)
+class ReferenceProfile:
+    """The reference side of D-2, made once: (col, value, n) rows, written to
+    the shared folder, and a few numbers a column."""
+
+    columns: tuple[str, ...]
+    rows: DataFrame
+    totals: tuple[int, ...]
+    std: tuple[float, ...]
+    edges: tuple[tuple[float, ...], ...]
+
+
+def _sketch_edges(df: DataFrame, columns, others=()) -> tuple[list[list[float]], list]:
+    """Quantile edges of each column (one aggregate of all columns over the
+    unmultiplied rows) and the row's other aggregates."""
+    n = df.count()
+    ranges = max(RANGES, -(-n // ROWS_PER_RANGE))
+    probs = [i / ranges for i in range(1, ranges)]
+    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, max(1000, 4 * ranges)).alias(f"e{i}")
+                   for i, c in enumerate(columns)], *others).first()
+    return [sorted(set(row[f"e{i}"] or [])) for i in range(len(columns))], row
+
+
+def _compacted(df: DataFrame, columns, keep: str | None = None) -> DataFrame:
+    """([keep,] col, value, n): the non-null values of each column, counted
+    batch by batch in the tasks; col is the column's place in ``columns``."""
+    import numpy as np
+    import pyarrow as pa
+
+    width = len(columns)
+    picked = df.select(*([F.col(keep).alias("_k")] if keep else []), *[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+
+    def run(batches):
+        for b in batches:
+            keys = b.column(0).dictionary_encode() if keep else None
+            codes = keys.indices.to_numpy(zero_copy_only=False) if keep else np.zeros(b.num_rows, np.int64)
+            out = []
+            for i in range(width):
+                column = b.column(i + bool(keep))
+                known = column.is_valid().to_numpy(zero_copy_only=False)
+                values = column.to_numpy(zero_copy_only=False)[known] + 0.0  # one zero
+                order = np.lexsort((values, codes[known]))
+                v, k = values[order], codes[known][order]
+                new = np.flatnonzero(np.r_[True, (v[1:] != v[:-1]) | (k[1:] != k[:-1])]) if len(v) else np.empty(0, int)
+                out.append((np.full(len(new), i, np.int32), v[new], np.diff(np.r_[new, len(v)]), k[new]))
+            col, value, n, code = (np.concatenate(x) for x in zip(*out))
+            cells = [pa.array(col), pa.array(value), pa.array(n.astype(np.int64))]
+            if keep:
+                cells = [keys.dictionary.take(pa.array(code.astype(np.int64))), *cells]
+            yield pa.RecordBatch.from_arrays(cells, names=[*(["_k"] if keep else []), "col", "value", "n"])
+
+    ddl = "col int, value double, n long"
+    return picked.mapInArrow(run, f"_k {picked.schema['_k'].dataType.simpleString()}, {ddl}" if keep else ddl)
+
+
+def reference_profile(reference: DataFrame, columns) -> ReferenceProfile:
+    """Counts, moments and ranges of the reference, for any number of months."""
+    others = [f(F.col(c).cast("double")).alias(f"{name}{i}") for i, c in enumerate(columns)
+              for name, f in (("n", F.count), ("s", F.stddev_pop))]
+    edges, row = _sketch_edges(reference, columns, others)
+    rows = cut_lineage(_compacted(reference, columns).groupBy("col", "value").agg(F.sum("n").alias("n")))
+    return ReferenceProfile(tuple(columns), rows, tuple(row[f"n{i}"] for i in range(len(columns))),
+                            tuple(float(row[f"s{i}"] or 0.0) for i in range(len(columns))), tuple(map(tuple, edges)))
+
+
+def _distance(lo: float, hi: float, x, fx, f0: float, c, g, g0: float) -> float:
+    """The integral of |F - G| over [lo, hi): F steps to fx at the sorted x
+    (f0 before), G to g at the sorted c (g0 before)."""
+    import numpy as np
+
+    at, step = np.r_[lo, x], np.r_[f0, fx]
+    area = np.r_[0.0, np.cumsum(step[:-1] * np.diff(at))]  # of F from lo up to each of its points
+
+    def up_to(v):
+        i = np.searchsorted(x, v, side="right")
+        return area[i] + step[i] * (v - at[i])
+
+    a, b, k = np.r_[lo, c], np.r_[c, hi], np.r_[g0, g]
+    # F is below k up to m and not below it from there on
+    first = np.searchsorted(step, k, side="left")
+    m = np.clip(np.where(first < len(at), at[np.minimum(first, len(at) - 1)], hi), a, b)
+    under = k * (m - a) - (up_to(m) - up_to(a))
+    over = (up_to(b) - up_to(m)) - k * (b - m)
+    return float(np.sum(under + over))
+
+
+def numeric_drift(reference: DataFrame | ReferenceProfile, current: DataFrame, columns, batch: str = "batch") -> DataFrame:
     """(batch, column, drift): Wasserstein-1 / max(std_pop(reference), 0.001),
-    nulls dropped on both sides."""
-    ref = _long(reference, columns).filter(F.col("value").isNotNull())
-    cur = _long(current, columns, keep=(batch,)).filter(F.col("value").isNotNull())
-    # Reduced tables are read by several later steps: each is written once
-    # (reliable checkpoint) so the plan below stays small and nothing upstream
-    # is recomputed.
-    ref_n = cut_lineage(ref.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-    ref_stats = cut_lineage(ref_n.groupBy("column").agg(
-        F.sum("n").alias("ref_count"), (F.sum(F.col("n") * F.col("value")) / F.sum("n")).alias("ref_mean"),
-        F.max("value").alias("r_max"),
-    ).join(ref.groupBy("column").agg(F.stddev_pop("value").alias("ref_std")), "column"))
-    cur_n = cut_lineage(cur.groupBy(batch, "column", "value").agg(F.count(F.lit(1)).alias("n")))
-
-    # reference CDF F and integral H at every distinct point of either side
-    points = (
-        ref_n.select("column", "value", F.col("n").alias("w_n"), (F.col("n") * F.col("value")).alias("w_m"))
-        .unionByName(cur_n.select("column", "value", F.lit(0).cast("long").alias("w_n"), F.lit(0.0).alias("w_m")))
-        .groupBy("column", "value").agg(F.sum("w_n").alias("w_n"), F.sum("w_m").alias("w_m"))
-    )
-    points = running_sums(cut_lineage(points), ["value"], ["w_n", "w_m"], ["column"])
-    n_ref = F.col("ref_count")
-    points = cut_lineage(points.join(ref_stats.select("column", "ref_count"), "column").select(
-        "column", "value", "w_n",
-        (F.col("cum_w_n") / n_ref).alias("cdf"),
-        (F.col("cum_w_n") / n_ref * F.col("value") - F.col("cum_w_m") / n_ref).alias("H"),
-    ))
-
-    # production intervals: per (column, month) the CDF level k, the rank of
-    # each distinct value and the next value (rank + 1, an equi-join). The
-    # running sums are range-bucketed, so a month holding most rows is not
-    # ordered in one task.
-    totals = cur_n.groupBy(batch, "column").agg(F.sum("n").alias("Nb"))
-    ranked = cut_lineage(running_sums(cur_n.withColumn("one", F.lit(1).cast("long")), ["value"], ["n", "one"],
-                                      [batch, "column"]))
-    following = ranked.select(batch, "column", (F.col("cum_one") - 1).alias("cum_one"), F.col("value").alias("nxt"))
-    intervals = ranked.join(totals, [batch, "column"]).join(following, [batch, "column", "cum_one"], "left").select(
-        batch, "column", "value",
-        (F.col("cum_n") / F.col("Nb")).alias("k"),
-        "nxt",
-        (F.col("cum_one") == 1).alias("is_first"),
-    )
-    h = points.select("column", "value", "H")
-    intervals = cut_lineage(
-        intervals.join(h.withColumnRenamed("H", "H_a"), ["column", "value"])
-        .join(h.withColumnRenamed("value", "nxt").withColumnRenamed("H", "H_next"), ["column", "nxt"], "left")
-        .join(ref_stats, "column")
-    )
-
-    # as-of on the CDF axis: first reference point with F >= k
-    ref_pts = points.filter(F.col("w_n") > 0).select(
-        "column", F.col("cdf").alias("key"), F.lit(1).alias("tie"),
-        F.struct(F.col("value").alias("x"), F.col("H").alias("Hx")).alias("hit"),
-    )
-    queries = intervals.select("column", F.col("k").alias("key")).distinct().select(
-        "column", "key", F.lit(0).alias("tie"), F.lit(None).cast("struct<x:double,Hx:double>").alias("hit")
-    )
-    found = carry(cut_lineage(ref_pts.unionByName(queries)), ["key", "tie"], "hit", ["column"], forward=False, out="xstar")
-    found = cut_lineage(found.filter(F.col("tie") == 0).select("column", F.col("key").alias("k"), "xstar"))
-    intervals = intervals.join(found, ["column", "k"], "left")
-
-    a, k = F.col("value"), F.col("k")
-    last = F.col("nxt").isNull()
-    b = F.when(last, F.greatest(a, F.col("r_max"))).otherwise(F.col("nxt"))
-    h_max = F.col("r_max") - F.col("ref_mean")
-    h_b = F.when(~last, F.col("H_next")).when(F.col("r_max") > a, h_max).otherwise(F.col("H_a"))
-    xs, hxs = F.col("xstar.x"), F.col("xstar.Hx")
-    m = F.least(b, xs)
-    h_m = F.when(xs <= b, hxs).otherwise(h_b)
-    corr = F.when(xs > a, F.greatest(F.lit(0.0), k * (m - a) - (h_m - F.col("H_a")))).otherwise(F.lit(0.0))
-    term = (h_b - F.col("H_a")) - k * (b - a) + F.lit(2.0) * corr
-    per = intervals.groupBy(batch, "column").agg(
-        (F.sum(term) + F.sum(F.when(F.col("is_first"), F.col("H_a")).otherwise(F.lit(0.0)))).alias("w1"),
-        F.first("ref_std").alias("ref_std"),
-    )
-    return per.select(batch, "column", (F.col("w1") / F.greatest(F.col("ref_std"), F.lit(C.STD_FLOOR))).alias("drift"))
+    nulls dropped on both sides.
+
+    The axis of every column is cut into ranges (by sketches of both sides, so
+    neither side is dense in one); a range's reference values and all months'
+    values meet in one task, which integrates |F - G| over the range for each
+    month: how many rows lie below the range on either side comes from the
+    ranges' counts. The integrals of the ranges add up. Rows are shuffled once
+    and the reference is not multiplied by the months."""
+    import numpy as np
+    import pyarrow as pa
+
+    profile = reference if isinstance(reference, ReferenceProfile) else reference_profile(reference, columns)
+    cur_edges, _ = _sketch_edges(current, columns)
+    edges = [np.array(sorted({*a, *b})) for a, b in zip(profile.edges, cur_edges)]
+    totals, names = profile.totals, list(columns)
+
+    def placed(df: DataFrame) -> DataFrame:
+        """The range of each row (0: below the first edge)."""
+        def run(batches):
+            for b in batches:
+                col, value = b["col"].to_numpy(), b["value"].to_numpy()
+                at = np.zeros(len(col), np.int32)
+                for i in np.unique(col):
+                    mine = col == i
+                    at[mine] = np.searchsorted(edges[i], value[mine], side="right")
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at)], names=[*b.schema.names, "r"])
+
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+        return df.mapInArrow(run, f"{kinds}, r int")
+
+    ref = cut_lineage(placed(profile.rows))
+    cur = cut_lineage(placed(_compacted(current, columns, batch).groupBy("_k", "col", "value").agg(F.sum("n").alias("n"))))
+    # rows below each range, for the reference and every (month, column) that has rows, in all ranges
+    last = F.element_at(F.array(*[F.lit(len(e)) for e in edges]), F.col("col") + 1)
+
+    def below(df: DataFrame, keys: list[str]) -> DataFrame:
+        counts = df.groupBy(*keys, "r").agg(F.sum("n").alias("n"))
+        grid = counts.groupBy(*keys).agg(F.sum("n").alias("all")).withColumn("r", F.explode(F.sequence(F.lit(0), last)))
+        run = Window.partitionBy(*keys).orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+        return grid.join(counts, [*keys, "r"], "left").select(
+            *keys, "r", "all", F.coalesce(F.sum("n").over(run), F.lit(0)).cast("long").alias("below"))
+
+    none = F.lit(None)
+    left = ref.select("col", "r", "value", "n", none.cast("long").alias("below")).unionByName(
+        below(ref, ["col"]).select("col", "r", none.cast("double").alias("value"), none.cast("long").alias("n"), "below"))
+    right = cur.select("_k", "col", "r", "value", "n", none.cast("long").alias("below"), none.cast("long").alias("all")).unionByName(
+        below(cur, ["_k", "col"]).select("_k", "col", "r", none.cast("double").alias("value"), none.cast("long").alias("n"), "below", "all"))
+
+    def integrate(key: tuple, r: pa.Table, c: pa.Table) -> pa.Table:
+        col, at = key[0].as_py(), key[1].as_py()
+        out_k, out_w = [], []
+        if r.num_rows and totals[col]:
+            r = r.sort_by("value")
+            known = r["value"].is_valid()
+            values = r.filter(known)
+            x, n = values["value"].to_numpy(), values["n"].to_numpy()
+            start = r.filter(pa.compute.invert(known))["below"][0].as_py()
+            f0, fx = start / totals[col], (start + np.cumsum(n)) / totals[col]
+            lo = edges[col][at - 1] if at > 0 else -np.inf
+            hi = edges[col][at] if at < len(edges[col]) else np.inf
+            months = c.filter(c["below"].is_valid())
+            rows = c.filter(c["value"].is_valid()).sort_by([("_k", "ascending"), ("value", "ascending")])
+            codes = pa.compute.index_in(rows["_k"], months["_k"]).to_numpy()
+            cv, cn = rows["value"].to_numpy(), rows["n"].to_numpy()
+            for i, (k, under, size) in enumerate(zip(*(months[x].to_pylist() for x in ("_k", "below", "all")))):
+                mine = codes == i
+                v, g = cv[mine], (under + np.cumsum(cn[mine])) / size
+                points = np.r_[x, v]
+                low, high = (lo if np.isfinite(lo) else points.min(initial=np.inf)), (hi if np.isfinite(hi) else points.max(initial=-np.inf))
+                if low < high:  # outside the first and the last point both are 0 or both 1
+                    out_k.append(k)
+                    out_w.append(_distance(low, high, x, fx, f0, v, g, under / size))
+        return pa.table([pa.array(out_k, c["_k"].type), pa.array([col] * len(out_k), pa.int32()), pa.array(out_w, pa.float64())],
+                        names=["_k", "col", "w"])
+
+    kind = current.schema[batch].dataType.simpleString()
+    parts = left.groupBy("col", "r").cogroup(right.groupBy("col", "r")).applyInArrow(integrate, f"_k {kind}, col int, w double")
+    std = F.element_at(F.array(*[F.lit(max(s, C.STD_FLOOR)) for s in profile.std]), F.col("col") + 1)
+    name = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("col") + 1)
+    # a month whose values all equal the reference's one value has no range to integrate: its distance is 0
+    seen = cur.select("_k", "col").distinct().filter(F.element_at(F.array(*[F.lit(t > 0) for t in totals]), F.col("col") + 1))
+    found = seen.join(parts.groupBy("_k", "col").agg(F.sum("w").alias("w")), ["_k", "col"], "left")
+    return found.select(F.col("_k").alias(batch), name.alias("column"), (F.coalesce("w", F.lit(0.0)) / std).alias("drift"))
 
 
 # --- D-3 ------------------------------------------------------------------------

@@ -160,7 +160,7 @@ def _sql_numeric_drift():
 def q_numeric_drift(spark, sf_dir):
     """D-1, D-2: normed Wasserstein drift per month and numeric input (+ score)."""
     m = Monitoring(spark, sf_dir)
-    d = monitor.numeric_drift(m.reference, m.current, NUMERIC_WITH_PRED)
+    d = m.drift.filter(F.col("column").isin(*NUMERIC_WITH_PRED))
     return d.select("batch", "column", ratio("drift"))
 
 
@@ -172,7 +172,7 @@ def _sql_categorical_drift():
 def q_categorical_drift(spark, sf_dir):
     """D-3: Jensen-Shannon distance per month and categorical input."""
     m = Monitoring(spark, sf_dir)
-    d = monitor.categorical_drift(m.reference, m.current, CATEGORICAL)
+    d = m.drift.filter(F.col("column").isin(*CATEGORICAL))
     return d.select("batch", "column", ratio("drift"))
 
 
@@ -245,6 +245,38 @@ def q_missing_alerts(spark, sf_dir):
     return monitor.missing_alerts(m.summaries, m.missing, INPUTS)
 
 
+#: Months of the thinned view in which half of the loans lack a column: a jump
+#: that lasts two months, and one that comes back.
+THINNED = {"revol_util": ("2001-03", "2001-04", "2001-07"), "dti": ("2001-04", "2001-05")}
+
+
+def _sql_missing_jumps():
+    thin = ", ".join(f"CASE WHEN batch IN ({S._q(months)}) AND substr(md5(loan_id), 1, 1) < '8' THEN NULL ELSE {c} END AS {c}"
+                     for c, months in THINNED.items())
+    quality = quality_ctes()
+    return S.with_ctes(
+        *policy_ctes(), production_cte(), decided_cte("production", "prod_dec"),
+        "train AS (SELECT * FROM scored WHERE split = 'train')",
+        f"prod_thin AS (SELECT * REPLACE ({thin}) FROM prod_dec)",
+        *[c.replace("FROM prod_dec", "FROM prod_thin") for c in quality[:3]],
+        "bidx AS (SELECT batch, row_number() OVER (ORDER BY batch) AS bi FROM (SELECT DISTINCT batch FROM prod_thin))",
+        *[c for c in retrain_ctes() if c.startswith(("mbr AS", "missing_alerts AS"))],
+        select="SELECT * FROM missing_alerts")
+
+
+@register("missing_jumps", _sql_missing_jumps)
+def q_missing_jumps(spark, sf_dir):
+    """D-9 on a view of the production months in which values go missing: each
+    jump alerts in its first month, is silent while it lasts, and alerts again
+    after a recovery."""
+    m = Monitoring(spark, sf_dir)
+    lost = F.substring(F.md5(F.col("loan_id").cast("string")), 1, 1) < "8"
+    current = m.current.withColumns({
+        c: F.when(F.col("batch").isin(*months) & lost, F.lit(None)).otherwise(F.col(c)) for c, months in THINNED.items()})
+    missing = monitor.missing_increase(m.reference, current, INPUTS)
+    return monitor.missing_alerts(current.select("batch").distinct(), missing, INPUTS)
+
+
 @register("category_alerts", lambda: S.with_ctes(*retrain_ctes(), select="SELECT * FROM category_alerts"))
 def q_category_alerts(spark, sf_dir):
     """D-10: each new category alerts once, in its first month."""

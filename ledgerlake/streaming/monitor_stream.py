@@ -94,6 +94,8 @@ def start_drift(spark: SparkSession, folder: str, schema: StructType, reference:
     log of all months as it is then (``alerts/batch_id=N``)."""
     numeric, categorical = C.monitored_columns()
     inputs = numeric + categorical
+    watched = numeric + [C.PREDICTION_COLUMN]
+    profile = monitor.reference_profile(reference, watched)  # once, not a micro-batch
     landed_path = f"{sink_path}/landed"
     landed_schema = StructType([*schema.fields, StructField("batch_id", LongType())])
 
@@ -111,7 +113,7 @@ def start_drift(spark: SparkSession, folder: str, schema: StructType, reference:
             reader = here.read.schema(StructType([*table.schema.fields, StructField("batch_id", LongType())]))
             return reader.parquet(f"{sink_path}/{name}").filter(F.col("batch_id") == batch_id).drop("batch_id")
 
-        num = monitor.numeric_drift(reference, rows, numeric + [C.PREDICTION_COLUMN])
+        num = monitor.numeric_drift(profile, rows, watched)
         drift = write(num.unionByName(monitor.categorical_drift(reference, rows, categorical)), "drift")
         missing = write(monitor.missing_increase(reference, rows, inputs), "missing")
         new = write(monitor.new_categories(reference, rows, categorical), "new_categories")

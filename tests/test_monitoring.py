@@ -87,12 +87,9 @@ def js_distance(ref, cur):
     return math.sqrt((kl(p) + kl(q)) / 2)
 
 
-@pytest.mark.parametrize("bucketed", [False, True])
-def test_numeric_drift_matches_brute_force(spark, monkeypatch, bucketed):
-    if bucketed:  # every group split into value ranges, as a hot month would be
-        from ledgerlake.functions import windows
-
-        monkeypatch.setattr(windows, "SINGLE_TASK_ROWS", 0)
+@pytest.mark.parametrize("rows_per_range", [500_000, 7])
+def test_numeric_drift_matches_brute_force(spark, monkeypatch, rows_per_range):
+    monkeypatch.setattr(monitor, "ROWS_PER_RANGE", rows_per_range)  # few values a range: every edge case at a border
     rng = np.random.default_rng(1)
     ref = np.round(rng.normal(50, 10, 500), 1)
     months = {"2016-01": np.round(rng.normal(50, 10, 120), 1), "2016-02": np.round(rng.normal(60, 15, 80), 1),
@@ -105,6 +102,32 @@ def test_numeric_drift_matches_brute_force(spark, monkeypatch, bucketed):
     assert got["2016-03"] > 0.15
 
 
+def test_numeric_drift_of_several_columns_on_one_profile(spark):
+    """One profile serves any months; columns with nulls, one value, no value
+    on a side, and values outside the reference's range."""
+    rng = np.random.default_rng(3)
+    ref = {"a": list(rng.normal(0, 1, 300)), "b": [5.0] * 300, "c": [None] * 300,
+           "d": [None if i % 3 else float(v) for i, v in enumerate(rng.uniform(0, 9, 300))]}
+    cur = {"a": list(rng.normal(40, 1, 60)), "b": [5.0] * 30 + [7.0] * 30, "c": [1.0] * 60, "d": [None] * 30 + [float(v) for v in rng.uniform(3, 5, 30)]}
+    months = ["m1"] * 30 + ["m2"] * 30
+    ddl = "a double, b double, c double, d double"
+    ref_df = spark.createDataFrame([tuple(None if v is None else float(v) for v in r) for r in zip(*ref.values())], ddl)
+    cur_df = spark.createDataFrame([(m, *[None if v is None else float(v) for v in r]) for m, r in zip(months, zip(*cur.values()))],
+                                   f"batch string, {ddl}")
+    profile = monitor.reference_profile(ref_df, list(ref))
+    for part in (cur_df, cur_df.filter("batch = 'm2'")):
+        got = {(r["batch"], r["column"]): r["drift"] for r in monitor.numeric_drift(profile, part, list(ref)).collect()}
+        seen = {r["batch"] for r in part.select("batch").distinct().collect()}
+        want = {}
+        for m in seen:
+            for c in ref:
+                values = [v for v, k in zip(cur[c], months) if k == m and v is not None]
+                known = [v for v in ref[c] if v is not None]
+                if values and known:
+                    want[m, c] = w1_normed(np.array(known), np.array(values))
+        assert got == {k: pytest.approx(v, rel=1e-9, abs=1e-9) for k, v in want.items()}
+
+
 def test_identical_month_has_zero_drift(spark):
     vals = [float(v) for v in range(100)]
     ref_df = spark.createDataFrame([(v,) for v in vals], "x double")
