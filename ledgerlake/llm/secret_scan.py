@@ -44,6 +44,12 @@ SEGMENT_COST = 1.0
 #: Values with at least this many log10 guesses are reported.
 MIN_LOG10_GUESSES = 10.0
 MAX_PERIOD = 16
+#: Of a keyboard walk: keys at least, its start, each key, each change of
+#: direction (the first direction too), each upper-case letter.
+WALK_KEYS = 4
+WALK_START, WALK_KEY, TURN, UPPER = math.log10(47), 0.02, math.log10(4.6), math.log10(2)
+#: Of a repeat: that it is one, and each copy beyond the second.
+REPEAT, COPY = math.log10(2), 0.001
 
 _ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 _LEET = str.maketrans("430157$@!", "aeoistsai")
@@ -93,63 +99,85 @@ def _case_cost(word: str) -> float:
     return math.log10(sum(math.comb(len(word), k) for k in range(1, min(up, len(word) - up) + 1)) or 2)
 
 
+def _lower(value: str) -> str:
+    low = value.lower()
+    return low if len(low) == len(value) else "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+
+
+def _word_cost(value: str, low: str, leet: str, words: dict[str, int]) -> float | None:
+    """Of a vocabulary word, also with digits and signs for letters."""
+    if (rank := words.get(low)) is not None:
+        return math.log10(rank + 1) + _case_cost(value)
+    if low != leet and (rank := words.get(leet)) is not None:
+        return math.log10(rank + 1) + _case_cost(value) + sum(a != b for a, b in zip(low, leet)) * math.log10(2)
+    return None
+
+
 def segments(value: str, words: dict[str, int], longest: int):
-    """(start, end, cost) of every candidate segment but brute force."""
-    n, low = len(value), value.lower()
-    if len(low) != n:
-        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
+    """(start, end, cost) of every word and every date."""
+    n, low = len(value), _lower(value)
     leet = low.translate(_LEET)
-    char = [_alphabet_cost(c) for c in value]
     for i in range(n):
         for j in range(i + 3, min(n, i + longest) + 1):
-            rank = words.get(low[i:j])
-            if rank is not None:
-                yield i, j, math.log10(rank + 1) + _case_cost(value[i:j])
-            elif low[i:j] != leet[i:j] and (rank := words.get(leet[i:j])) is not None:
-                swaps = sum(a != b for a, b in zip(low[i:j], leet[i:j]))
-                yield i, j, math.log10(rank + 1) + _case_cost(value[i:j]) + swaps * math.log10(2)
+            cost = _word_cost(value[i:j], low[i:j], leet[i:j], words)
+            if cost is not None:
+                yield i, j, cost
         if value[i].isdigit():
             for k, pattern in enumerate(_DATES):
-                if m := pattern.match(value, i):
-                    yield i, m.end(), math.log10(120 * (365 if k < 3 else 1)) + (math.log10(4) if k < 3 and m[1] else 0)
-    for p in range(1, min(MAX_PERIOD, n // 2) + 1):
-        i = 0
-        while i + p < n:
-            if value[i] != value[i + p]:
-                i += 1
-                continue
-            end = i + p
-            while end < n and value[end] == value[end - p]:
-                end += 1
-            times = (end - i) // p
-            if times >= 2 and times * p >= 3:
-                base = sum(char[i:i + p])
-                if (rank := words.get(low[i:i + p])) is not None:
-                    base = min(base, math.log10(rank + 1))
-                yield i, i + times * p, base + math.log10(times)
-            i = end - p + 1
-    i = 0
-    while i < n:
-        end, turns, way = i + 1, 0, None
-        while end < n and (d := KEYBOARD.get(low[end - 1], {}).get(low[end])) is not None:
-            turns += d != way
-            way = d
-            end += 1
-        if end - i >= 4:
-            yield i, end, math.log10(47 * (end - i)) + turns * math.log10(4.6) + _case_cost(value[i:end])
-        i = max(end - 1, i + 1) if end < n else n
+                for j in range(i + 4, min(n, i + 10) + 1):
+                    if m := pattern.fullmatch(value, i, j):
+                        yield i, j, math.log10(120 * (365 if k < 3 else 1)) + (math.log10(4) if k < 3 and m[1] else 0)
 
 
 def guess_cost(value: str, words: dict[str, int], longest: int) -> float:
-    """log10 of the guesses of the cheapest segmentation."""
-    n = len(value)
+    """log10 of the guesses of the cheapest segmentation into words, dates,
+    keyboard walks of four keys or more, repeats (of up to ``MAX_PERIOD``
+    characters, three in all or more) and brute-force spans.
+
+    Every walk and every repeat is in the race, not only the longest: a walk
+    costs its start, each key and each turn, a repeat its unit and each copy,
+    so running walks (by keys so far and direction) and running repeats (by
+    period) are states of the programme and it stays linear in the length."""
+    n, low = len(value), _lower(value)
+    char = [_alphabet_cost(c) for c in value]
     ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
     for i, j, cost in segments(value, words, longest):
         ends[j].append((i, cost))
+    periods = range(1, min(MAX_PERIOD, n // 2) + 1)
+    repeat = {p: [math.inf] * (n + 1) for p in periods}
+    run = dict.fromkeys(periods, 0)
+    walks: dict[tuple[int, int | None], float] = {}
     best, brute = [0.0] * (n + 1), math.inf
     for j in range(1, n + 1):
-        brute = min(brute, best[j - 1] + SEGMENT_COST) + _alphabet_cost(value[j - 1])
-        best[j] = min([brute, *(best[i] + SEGMENT_COST + cost for i, cost in ends[j])])
+        brute = min(brute, best[j - 1] + SEGMENT_COST) + char[j - 1]
+        found = [brute, *(best[i] + SEGMENT_COST + cost for i, cost in ends[j])]
+
+        key = WALK_KEY + (UPPER if value[j - 1].isupper() else 0.0)
+        now: dict[tuple[int, int | None], float] = {}
+        if low[j - 1] in KEYBOARD:
+            now[1, None] = best[j - 1] + SEGMENT_COST + WALK_START + key
+            way = KEYBOARD.get(low[j - 2], {}).get(low[j - 1]) if j > 1 else None
+            if way is not None:
+                for (keys, before), cost in walks.items():
+                    state = min(keys + 1, WALK_KEYS), way
+                    now[state] = min(now.get(state, math.inf), cost + key + (TURN if way != before else 0.0))
+        walks = now
+        found += [cost for (keys, _), cost in walks.items() if keys == WALK_KEYS]
+
+        for p in periods:
+            run[p] = run[p] + 1 if j > p and value[j - 1] == value[j - 1 - p] else 0
+            if run[p] >= p:
+                more = repeat[p][j - p] + COPY
+                copies = 2 if p > 1 else 3  # three characters at least
+                if run[p] >= (copies - 1) * p:
+                    i = j - copies * p
+                    unit = sum(char[i:i + p])
+                    if (rank := words.get(low[i:i + p])) is not None:
+                        unit = min(unit, math.log10(rank + 1))
+                    more = min(more, best[i] + SEGMENT_COST + unit + REPEAT + (copies - 2) * COPY)
+                repeat[p][j] = more
+                found.append(more)
+        best[j] = min(found)
     return best[n]
 
 

@@ -4,6 +4,7 @@ tables with nulls, empty and long texts, ties, repeated rows and extra columns."
 import collections
 import hashlib
 import itertools
+import math
 import os
 import re
 import zlib
@@ -65,28 +66,55 @@ def test_secret_spans(docs, nothing):
     assert secret_scan.scan(nothing, tokenizer_file("word_bpe_49k.json")).count() == 0
 
 
+def plain_guess_cost(value, words):
+    """The cheapest segmentation, from the definitions: every substring is
+    priced as every kind that it is."""
+    sc, log = secret_scan, math.log10
+    rows = ["`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./"]
+    at = {c: (r, i) for r, row in enumerate(rows) for i, c in enumerate(row)}
+
+    def price(s):
+        low = s.lower()
+        brute = sum(sc._alphabet_cost(c) for c in s)
+        out = [brute]
+        leet = low.translate(str.maketrans("430157$@!", "aeoistsai"))
+        if len(s) >= 3 and low in words:
+            out.append(log(words[low] + 1) + sc._case_cost(s))
+        elif len(s) >= 3 and leet in words:
+            out.append(log(words[leet] + 1) + sc._case_cost(s) + sum(a != b for a, b in zip(low, leet)) * log(2))
+        for k, pattern in enumerate(sc._DATES):
+            if m := pattern.fullmatch(s):
+                out.append(log(120 * (365 if k < 3 else 1)) + (log(4) if k < 3 and m[1] else 0))
+        for p in range(1, len(s) // 2 + 1):
+            if len(s) >= 3 and len(s) % p == 0 and s == s[:p] * (len(s) // p):
+                unit = sum(sc._alphabet_cost(c) for c in s[:p])
+                if low[:p] in words:
+                    unit = min(unit, log(words[low[:p]] + 1))
+                out.append(unit + log(2) + (len(s) // p - 2) * sc.COPY)
+        if len(s) >= 4 and all(c in at for c in low):
+            ways = [(at[b][0] - at[a][0], at[b][1] - at[a][1]) for a, b in zip(low, low[1:])]
+            if all(w in {(0, -1), (0, 1), (-1, 0), (-1, 1), (1, -1), (1, 0)} for w in ways):
+                turns = 1 + sum(a != b for a, b in zip(ways, ways[1:]))
+                out.append(log(47) + len(s) * sc.WALK_KEY + turns * log(4.6) + sum(c.isupper() for c in s) * log(2))
+        return min(out)
+
+    best = [0.0]
+    for j in range(1, len(value) + 1):
+        best.append(min(best[i] + sc.SEGMENT_COST + price(value[i:j]) for i in range(j)))
+    return best[-1]
+
+
 def test_guess_cost_is_the_cheapest_segmentation():
-    words = {"pass": 3, "word": 9, "password": 1}
-    for value in ["password1", "passwordpass", "aaaaaaaa", "qwertyui", "2019-03-04", "Zk3", "pa55word", "x" * 300]:
-        found = list(secret_scan.segments(value, words, 8))
-        best = {0: 0.0}
-
-        def least(j, inside):  # plain recursion over the last segment
-            if j == 0:
-                return 0.0 if not inside else float("inf")
-            key = (j, inside)
-            if key not in best:
-                step = secret_scan._alphabet_cost(value[j - 1])
-                brute = min(least(j - 1, True), min(least(j - 1, False), least(j - 1, True)) + secret_scan.SEGMENT_COST) + step
-                if inside:
-                    best[key] = brute
-                else:
-                    best[key] = min([brute, *(least(i, False) + secret_scan.SEGMENT_COST + c for i, e, c in found if e == j)])
-            return best[key]
-
-        if len(value) < 20:
-            assert secret_scan.guess_cost(value, words, 8) == pytest.approx(least(len(value), False))
+    words = {"pass": 3, "word": 9, "password": 1, "yellow": 40, "aba": 7, "wer": 11}
+    rng = np.random.default_rng(8)
+    values = ["password1", "passwordpass", "aaaaaaaa", "qwertyui", "qwertyellow", "2019-03-04", "12112019", "Zk3", "pa55word", "aa",
+              "xyabcabcabcab", "PaSsQwErT", "İqwer", "yellowyellowyellow", "asdfdsasdf", "12342019"]
+    for letters in ("aab", "qwer", "qwErty1", "0129", "pasword5", "abyelow"):
+        values += ["".join(rng.choice(list(letters), rng.integers(1, 15))) for _ in range(150)]
+    for value in values:
+        assert secret_scan.guess_cost(value, words, 8) == pytest.approx(plain_guess_cost(value, words)), value
     assert secret_scan.guess_cost("password", words, 8) < secret_scan.guess_cost("Xq9$vLr2", words, 8)
+    assert secret_scan.guess_cost("qw" * 20_000, words, 8) < 100  # long values stay cheap to price
 
 
 def plain_lines(rows, least=5):
