@@ -17,7 +17,6 @@ from ledgerlake.plans.q_policy import policy_ctes
 from ledgerlake.plans.q_profile import decided_cte, production_cte
 from ledgerlake.plans.registry import ratio, register
 from ledgerlake.plans.stages import Stages, add_scores
-from ledgerlake.sources.loan_store import stage_table
 
 P = C.DEFAULT
 NUMERIC, CATEGORICAL = C.monitored_columns()
@@ -34,14 +33,13 @@ class Monitoring:
     @cached_property
     def reference(self):
         """The scored train split, written once (read by four drift/quality jobs)."""
-        return stage_table(self.st.spark, self.st.sf_dir, "reference", lambda: add_scores(self.st.train))
+        return self.st.stored("reference", lambda: add_scores(self.st.train))
 
     @cached_property
     def current(self):
         """S-4: the scored and decided production window written once,
         partitioned by month (``batch``); every monitoring job reads it."""
-        return stage_table(self.st.spark, self.st.sf_dir, "batches",
-                           lambda: self.st.decided(self.st.production), partition_by="batch")
+        return self.st.stored("batches", lambda: self.st.decided(self.st.production), partition_by="batch")
 
     @cached_property
     def drift(self):
@@ -52,7 +50,7 @@ class Monitoring:
             cat = monitor.categorical_drift(self.reference, self.current, CATEGORICAL)
             return num.unionByName(cat)
 
-        return stage_table(self.st.spark, self.st.sf_dir, "drift", build)
+        return self.st.stored("drift", build)
 
     @cached_property
     def missing(self):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake import config as C
 from ledgerlake.operators import labels, policy, splits
-from ledgerlake.sources.loan_store import loan_table, loan_window
+from ledgerlake.sources.loan_store import loan_table, loan_window, source_key, stage_table
 
 
 def closed_form_score(prefix: str = "") -> Column:
@@ -43,9 +43,14 @@ class Stages:
         self.p = params
         self.check_statuses = check_statuses
 
+    @cached_property
+    def source(self) -> str:
+        """The state of the source files when these stages were asked for."""
+        return source_key(self.spark, self.sf_dir)
+
     @cached_property
     def raw(self) -> DataFrame:
-        return loan_table(self.spark, self.sf_dir)
+        return loan_table(self.spark, self.sf_dir, self.source)
 
     @cached_property
     def prepared(self) -> DataFrame:
@@ -55,9 +60,13 @@ class Stages:
     def with_split(self) -> DataFrame:
         return splits.assign_split(self.prepared, self.p)
 
+    def stored(self, name: str, build, partition_by: str | None = None, params=None) -> DataFrame:
+        """A derived stage, written once for these files and parameters."""
+        return stage_table(self.spark, self.sf_dir, name, build, partition_by, self.source, (self.p, params))
+
     def raw_window(self, start: str, end: str) -> DataFrame:
         """Raw loans of the issue months in [start, end] (partition pruned)."""
-        return loan_window(self.spark, self.sf_dir, start, end)
+        return loan_window(self.spark, self.sf_dir, start, end, self.source)
 
     def part(self, name: str) -> DataFrame:
         """One split. The C-1 guard runs once over all rows (``prepared``);

@@ -30,18 +30,40 @@ from ledgerlake.sources.tables import loans
 MONTH_COL = "issue_ym"
 
 _LOCK = threading.RLock()  # stage builds read the loan table under the same lock
-# (application id, folder, table) -> (path, schema). The schema is the one
+# (application id, folder, table, files, parameters) -> (path, schema). The schema is the one
 # written (partition column last, as text): reads neither list the folder
 # again nor infer the partition column's type.
 _WRITTEN: dict[tuple[str, ...], tuple[str, StructType]] = {}
 
 
-def _write_once(spark: SparkSession, sf_dir: str, name: str, build, partition_by: str | None) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+#: The given tables behind the loan view.
+SOURCES = ("lineitem", "orders", "customer", "part")
+
+
+def source_key(spark: SparkSession, sf_dir: str) -> str:
+    """The state of the files behind the loan view: their paths, sizes and
+    times, listed by Spark (no content is read). Part of every stage's key, so
+    a changed file gives new stages."""
+    paths = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCES]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    one = F.xxhash64("path", "length", F.col("modificationTime").cast("string")).cast("decimal(38,0)")
+    row = files.agg(F.count(F.lit(1)), F.sum(one)).first()
+    return f"{row[0]}:{row[1]}"
+
+
+def params_key(params) -> str:
+    """The parameters that a stage depends on, for its key."""
+    return hashlib.sha1(repr(params).encode()).hexdigest()[:12]
+
+
+def _write_once(spark: SparkSession, sf_dir: str, name: str, build, partition_by: str | None,
+                source: str | None = None, params=None) -> DataFrame:
+    source = source or source_key(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name, source, params_key(params))
     with _LOCK:
         hit = _WRITTEN.get(key)
         if hit is None:
-            tag = hashlib.sha1(key[1].encode()).hexdigest()[:12]
+            tag = hashlib.sha1("|".join(key[1:]).encode()).hexdigest()[:12]
             path = session_folder(spark, f"{name}-{tag}")
             df = build()
             writer = df.write.mode("overwrite")
@@ -54,7 +76,7 @@ def _write_once(spark: SparkSession, sf_dir: str, name: str, build, partition_by
     return spark.read.schema(schema).parquet(path)
 
 
-def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored(spark: SparkSession, sf_dir: str, source: str | None = None) -> DataFrame:
     """The written loan table, partition column included."""
 
     def build():
@@ -63,26 +85,28 @@ def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
         # so a month with most of the rows is still written by every task.
         return loans(spark, sf_dir).withColumn(MONTH_COL, month)
 
-    return _write_once(spark, sf_dir, "loans", build, MONTH_COL)
+    return _write_once(spark, sf_dir, "loans", build, MONTH_COL, source)
 
 
-def loan_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All loans (the raw columns only)."""
-    return _stored(spark, sf_dir).drop(MONTH_COL)
+def loan_table(spark: SparkSession, sf_dir: str, source: str | None = None) -> DataFrame:
+    """All loans (the raw columns only). ``source``: the files' state if it is
+    known already."""
+    return _stored(spark, sf_dir, source).drop(MONTH_COL)
 
 
-def loan_window(spark: SparkSession, sf_dir: str, start: str, end: str) -> DataFrame:
+def loan_window(spark: SparkSession, sf_dir: str, start: str, end: str, source: str | None = None) -> DataFrame:
     """Loans whose issue month lies in [start, end] ('yyyy-MM-dd' bounds),
     plus unparseable months. A superset of the date filter the caller still
     applies, evaluated on partition values only."""
     m = F.col(MONTH_COL)
     keep = m.between(F.lit(start[:7]), F.lit(end[:7])) | m.isNull()
-    return _stored(spark, sf_dir).filter(keep).drop(MONTH_COL)
+    return _stored(spark, sf_dir, source).filter(keep).drop(MONTH_COL)
 
 
-def stage_table(spark: SparkSession, sf_dir: str, name: str, build, partition_by: str | None = None) -> DataFrame:
+def stage_table(spark: SparkSession, sf_dir: str, name: str, build, partition_by: str | None = None,
+                source: str | None = None, params=None) -> DataFrame:
     """A derived stage (e.g. the scored monthly batches) written once per
-    application next to the loan table and read back by every later query.
-    ``build`` is called only on the first request. A partition column is read
-    back as text."""
-    return _write_once(spark, sf_dir, name, build, partition_by)
+    application, state of the source files and ``params`` next to the loan
+    table, and read back by every later query. ``build`` is called only on the
+    first request. A partition column is read back as text."""
+    return _write_once(spark, sf_dir, name, build, partition_by, source, params)

@@ -31,3 +31,34 @@ def test_windows_prune_and_match_date_filters(spark):
     prod_plain = labels.production_frame(raw, C.DEFAULT).select("loan_id")
     assert st.production.select("loan_id").exceptAll(prod_plain).count() == 0
     assert st.production.count() == prod_plain.count()
+
+
+def test_stages_follow_files_and_parameters(spark, tmp_path):
+    """A stage is built once for one state of the files and one set of
+    parameters; a changed file or parameter gives a new one."""
+    import shutil
+    from dataclasses import replace
+
+    import pyarrow.parquet as pq
+
+    from ledgerlake import config as C
+    from ledgerlake.plans.stages import Stages
+    from ledgerlake.sources.loan_store import SOURCES
+
+    for t in SOURCES:
+        copy = shutil.copytree if os.path.isdir(f"{SF}/{t}.parquet") else shutil.copyfile
+        copy(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+    built = []
+
+    def stage(p=C.DEFAULT, params=None):
+        st = Stages(spark, str(tmp_path), p)
+        return st.stored("probe", lambda: (built.append(1), spark.range(len(built)))[1], params=params).count()
+
+    assert [stage(), stage()] == [1, 1] and len(built) == 1
+    assert stage(params=("other",)) == 2 and stage(replace(C.DEFAULT, seed=1)) == 3 and stage() == 1
+    before = Stages(spark, str(tmp_path)).raw.count()
+    path = tmp_path / "lineitem.parquet"
+    table = pq.read_table(path)
+    pq.write_table(table.slice(0, 100), path / "more.parquet" if path.is_dir() else path)
+    assert stage() == 4
+    assert Stages(spark, str(tmp_path)).raw.count() == (before + 100 if path.is_dir() else 100)
