@@ -119,8 +119,11 @@ def evaluate(scored: DataFrame, tuned: dict[str, Tuned], profit: policy.ProfitMo
 def paired_flags(scored: DataFrame, tuned: dict[str, Tuned], profit: policy.ProfitModel, key: str = "loan_id") -> DataFrame:
     """One row a loan: funded_amnt, realized_profit, ``<family>_<policy>`` and
     the baselines, for paired comparisons (the families' rows of a loan meet
-    in one aggregate by its key)."""
+    in one aggregate by its key). The rows are small but each is weighed for
+    every draw afterwards, so they stay in all shuffle partitions instead of
+    being coalesced by their bytes; the aggregate uses the same exchange."""
     scored = policy.with_gain(scored)
+    scored = scored.repartition(int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
     conditions = flags(tuned, profit)
     return scored.groupBy(key).agg(
         F.first("funded_amnt").alias("funded_amnt"), F.first("realized_profit").alias("realized_profit"),

@@ -275,17 +275,13 @@ def poisson_weight(u: Column) -> Column:
     return expr
 
 
-#: Loans times draws that a task weighs at a time (bounds its memory).
-WEIGHTS_AT_ONCE = 1 << 21
-
-
 def bootstrap_differences(df: DataFrame, comparisons: dict[str, tuple[str, str]], draws: int,
                           seed: int, key_col: str = "loan_id") -> DataFrame:
     """A-9: per-draw return difference for each comparison (a vs b).
 
     ``comparisons`` maps a name to two boolean columns of ``df``. The result
     has one row per (comparison, draw). A task makes the weights of its loans
-    (numpy, a bounded block at a time) and sums them into draws x policies
+    (numpy, one batch and draw at a time) and sums them into draws x policies
     numbers: no row is multiplied by the draws, and each task sends one row a
     draw into the shuffle. A null amount or flag counts as zero."""
     import numpy as np
@@ -298,18 +294,28 @@ def bootstrap_differences(df: DataFrame, comparisons: dict[str, tuple[str, str]]
     seeded = df.select(s.alias("s"), t.alias("t"), F.array(*values).alias("v"))
     cdf, width = np.array(_poisson_cdf(POISSON_KMAX)), len(values)
 
+    def weight(x):
+        return np.searchsorted(cdf, x / float(DRAW_MODULUS), side="right").astype(np.float64)
+
     def run(batches):
+        # weights by the leading 16 bits of the draw's number; the few ranges that hold a step of the distribution are looked up
+        low = np.arange(1 << 16, dtype=np.int64) << 15
+        table = weight(low)
+        step = table != weight(low + (1 << 15) - 1)
         total = np.zeros((draws, width))
         seen = False
         for b in batches:
             seen = seen or b.num_rows > 0
-            starts, steps = b.column(0).to_numpy(), b.column(1).to_numpy()
+            x, t = b.column(0).to_numpy().copy(), b.column(1).to_numpy()
             v = b.column(2).flatten().to_numpy().reshape(-1, width)
-            block = max(1, WEIGHTS_AT_ONCE // draws)
-            for i in range(0, len(starts), block):
-                x = (starts[i:i + block, None] + np.arange(draws)[None, :] * steps[i:i + block, None]) % DRAW_MODULUS
-                weights = np.searchsorted(cdf, x / float(DRAW_MODULUS), side="right").astype(np.float64)
-                total += weights.T @ v[i:i + block]
+            for d in range(draws):  # x is (s + d * t) mod M
+                at = x >> 15
+                w = table[at]
+                if len(odd := np.flatnonzero(step[at])):
+                    w[odd] = weight(x[odd])
+                total[d] += w @ v
+                x += t
+                x[x >= DRAW_MODULUS] -= DRAW_MODULUS
         if seen:
             flat = pa.array(total.ravel())
             yield pa.RecordBatch.from_arrays(

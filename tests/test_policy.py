@@ -112,3 +112,21 @@ def test_gate_vectors(spark):
     assert not same["promote"] and "below" in same["reason"]
     df = spark.createDataFrame([("candidate", 10000.0, 1500.0, "decline")], "bundle string, funded_amnt double, realized_profit double, decision string")
     assert gate.bundle_returns(df).first()["return_per_dollar"] == 0.0
+
+
+def test_bootstrap_sums_equal_the_exploded_draws(spark):
+    """The tasks' sums are those of one row a (loan, draw) with its weight,
+    and the weights have the mean and variance of Poisson(1)."""
+    rows = [(f"l{i}", 100.0 + i, float(i % 13 - 4), i % 3 > 0, i % 5 > 1) for i in range(400)]
+    df = spark.createDataFrame(rows, "loan_id string, funded_amnt double, realized_profit double, a boolean, b boolean")
+    got = {(r["comparison"], r["draw"]): r["difference"] for r in policy.bootstrap_differences(
+        df, {"ab": ("a", "b"), "ba": ("b", "a")}, draws=40, seed=42).collect()}
+    s, t = policy.draw_seeds(F.concat_ws("-", F.lit("42"), F.col("loan_id")))
+    each = df.select("*", s.alias("s"), t.alias("t"), F.explode(F.sequence(F.lit(0), F.lit(39))).alias("draw"))
+    each = each.withColumn("w", policy.poisson_weight(policy.draw_uniform(F.col("s"), F.col("t"), F.col("draw"))))
+    ret = lambda p: F.sum(F.when(F.col(p), F.col("w") * F.col("realized_profit"))) / F.sum(F.when(F.col(p), F.col("w") * F.col("funded_amnt")))
+    want = {r["draw"]: r["d"] for r in each.groupBy("draw").agg((ret("a") - ret("b")).alias("d")).collect()}
+    assert len(got) == 80 and all(got["ab", d] == pytest.approx(w, abs=1e-12) for d, w in want.items())
+    assert all(got["ba", d] == pytest.approx(-w, abs=1e-12) for d, w in want.items())
+    m = each.agg(F.avg("w").alias("mean"), F.var_pop("w").alias("var")).first()
+    assert m["mean"] == pytest.approx(1, abs=0.05) and m["var"] == pytest.approx(1, abs=0.08)
