@@ -62,3 +62,27 @@ def test_stages_follow_files_and_parameters(spark, tmp_path):
     pq.write_table(table.slice(0, 100), path / "more.parquet" if path.is_dir() else path)
     assert stage() == 4
     assert Stages(spark, str(tmp_path)).raw.count() == (before + 100 if path.is_dir() else 100)
+
+
+def test_a_month_is_few_files_and_texts_are_kept(spark, tmp_path):
+    """The stored rows of a month are not scattered over a file for each task,
+    and the view read back equals the view made directly."""
+    import shutil
+
+    from ledgerlake.sources.loan_store import MONTH_COL, SOURCES, _stored, loan_table
+    from ledgerlake.sources.tables import KEPT_TEXTS, loans
+
+    for t in SOURCES:
+        (shutil.copytree if os.path.isdir(f"{SF}/{t}.parquet") else shutil.copyfile)(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        stored = _stored(spark, str(tmp_path))
+        months = stored.select(MONTH_COL).distinct().count()
+        assert months <= len(stored.inputFiles()) <= 2 * months  # 40 tasks: far more files before
+        assert set(KEPT_TEXTS) <= set(stored.columns) and "loan_id" not in stored.columns
+        back, direct = loan_table(spark, str(tmp_path)), loans(spark, str(tmp_path))
+        assert back.columns == direct.columns and back.dtypes == direct.dtypes
+        assert back.exceptAll(direct).count() == 0 and direct.exceptAll(back).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
