@@ -32,8 +32,9 @@ class Monitoring:
 
     @cached_property
     def reference(self):
-        """The scored train split, written once (read by four drift/quality jobs)."""
-        return self.st.stored("reference", lambda: add_scores(self.st.train))
+        """The watched columns of the scored train split, written once (read by
+        four drift/quality jobs)."""
+        return self.st.stored("reference", lambda: add_scores(self.st.train).select(*INPUTS, C.PREDICTION_COLUMN))
 
     @cached_property
     def current(self):
