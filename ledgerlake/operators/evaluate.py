@@ -39,10 +39,15 @@ class Tuned:
 
 def long_scores(df: DataFrame, scorers: dict[str, Callable[[DataFrame], DataFrame]]) -> DataFrame:
     """``df`` scored by every family: its columns, family, risk_score and
-    probability_of_default."""
-    frames = [scorer(df).select(*df.columns, F.lit(name).alias(FAMILY), "risk_score", "probability_of_default")
-              for name, scorer in scorers.items()]
-    return reduce(DataFrame.unionByName, frames)
+    probability_of_default. A row is read once and scored by one family after
+    the other (scorers keep the columns that they do not make)."""
+    made = ("risk_score", "probability_of_default")
+    kept, wide = [c for c in df.columns if c not in made], df
+    for i, scorer in enumerate(scorers.values()):
+        wide = scorer(wide).withColumnsRenamed({c: f"_{c}_{i}" for c in made})
+    rows = [F.struct(F.lit(name).alias(FAMILY), *[F.col(f"_{c}_{i}").cast("double").alias(c) for c in made])
+            for i, name in enumerate(scorers)]
+    return wide.select(*kept, F.explode(F.array(*rows)).alias("_s")).select(*kept, "_s.*")
 
 
 def threshold_curves(scored: DataFrame, families: list[str]) -> DataFrame:

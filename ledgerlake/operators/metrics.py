@@ -78,12 +78,16 @@ def reliability(df: DataFrame, y: str = "target", p: str = "probability_of_defau
 # --- M-1 grade prior ---------------------------------------------------------------
 
 def fit_grade_prior(train: DataFrame, grade_col: str = "grade", y: str = "target") -> tuple[DataFrame, float]:
-    """Mean target per grade (a small table) and the global mean (fallback)."""
-    rates = train.groupBy(grade_col).agg(
-        F.count(F.lit(1)).alias("loans"), F.avg(F.col(y).cast("double")).alias("prior")
-    )
-    overall = float(train.agg(F.avg(F.col(y).cast("double"))).first()[0])
-    return rates, overall
+    """Mean target per grade (a small table) and the global mean (fallback).
+    The train rows are read once, here: every later use of the rates reads the
+    reduced table, and the global mean is made from its sums."""
+    target = F.col(y).cast("double")
+    rates = cut_lineage(train.groupBy(grade_col).agg(
+        F.count(F.lit(1)).alias("loans"), F.avg(target).alias("prior"),
+        F.count(target).alias("_known"), F.sum(target).alias("_total"),
+    ))
+    total, known = rates.agg(F.sum("_total"), F.sum("_known")).first()
+    return rates.drop("_known", "_total"), float(total) / known
 
 
 def predict_grade_prior(df: DataFrame, rates: DataFrame, overall: float, grade_col: str = "grade",

@@ -122,8 +122,9 @@ class Stages:
 
     # --- two families that SQL can score too --------------------------------
 
+    @cached_property
     def scorers(self) -> dict:
-        """The closed form and the grade prior of the train rows."""
+        """The closed form and the grade prior of the train rows (fitted once)."""
         from ledgerlake.operators import metrics
 
         rates, overall = metrics.fit_grade_prior(self.train)
@@ -139,13 +140,16 @@ class Stages:
 
         kept = ["loan_id", "grade", "grade_idx", "fico_mid", "loan_to_income", "target", "funded_amnt", "realized_profit",
                 "installment", "term_months"]
-        return evaluate.long_scores(df.select(*kept), self.scorers())
+        return evaluate.long_scores(df.select(*kept), self.scorers)
 
     @cached_property
     def tuned_families(self) -> dict:
         from ledgerlake.operators import evaluate
 
-        return evaluate.tune(self.families(self.calib_tune[1]), ["closed_form", "grade_prior"])
+        # Tuning goes over its rows several times: scored and written once.
+        read = ["family", "risk_score", "probability_of_default", "grade", "target", "funded_amnt", "realized_profit"]
+        scored = self.stored("tuning-families", lambda: self.families(self.calib_tune[1]).select(*read))
+        return evaluate.tune(scored, ["closed_form", "grade_prior"])
 
     def decided(self, df: DataFrame) -> DataFrame:
         """P-17 with the tuned threshold and the train profit model (serving

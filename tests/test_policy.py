@@ -130,3 +130,46 @@ def test_bootstrap_sums_equal_the_exploded_draws(spark):
     assert all(got["ba", d] == pytest.approx(-w, abs=1e-12) for d, w in want.items())
     m = each.agg(F.avg("w").alias("mean"), F.var_pop("w").alias("var")).first()
     assert m["mean"] == pytest.approx(1, abs=0.05) and m["var"] == pytest.approx(1, abs=0.08)
+
+
+def _counted(df):
+    """``df`` and a counter of its rows' evaluations."""
+    from pyspark.sql import functions as F
+
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def one(x: int) -> int:
+        seen.add(1)
+        return x
+
+    return df.withColumn("target", F.udf(one, "int").asNondeterministic()("target")), seen
+
+
+def test_grade_prior_reads_its_train_rows_once(spark):
+    from ledgerlake.operators import metrics
+
+    train, seen = _counted(spark.createDataFrame([("A", 0)] * 6 + [("G", 1)] * 3 + [(None, None)], "grade string, target int"))
+    rates, overall = metrics.fit_grade_prior(train)
+    for _ in range(2):
+        got = {r["grade"]: r["probability_of_default"] for r in metrics.predict_grade_prior(
+            spark.createDataFrame([("A",), ("G",), ("Z",)], "grade string"), rates, overall).collect()}
+        assert got == {"A": 0.0, "G": 1.0, "Z": 3 / 9}
+    assert seen.value == 10
+
+
+def test_families_score_a_row_once(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators import evaluate
+
+    df, seen = _counted(spark.createDataFrame([("a", 1), ("b", 0), ("b", 0), (None, None)], "loan_id string, target int"))
+
+    def scorer(x):
+        return lambda d: d.withColumn("risk_score", F.lit(x)).withColumn("probability_of_default", F.col("risk_score") / 2)
+
+    got = evaluate.long_scores(df, {"one": scorer(0.5), "two": scorer(0.25)})
+    assert got.columns == ["loan_id", "target", "family", "risk_score", "probability_of_default"]
+    rows = sorted(map(tuple, got.collect()), key=str)
+    assert rows == sorted([(i, t, f, s, s / 2) for i, t in (("a", 1), ("b", 0), ("b", 0), (None, None))
+                           for f, s in (("one", 0.5), ("two", 0.25))], key=str)
+    assert seen.value == 4
