@@ -86,3 +86,42 @@ def test_a_month_is_few_files_and_texts_are_kept(spark, tmp_path):
         assert back.exceptAll(direct).count() == 0 and direct.exceptAll(back).count() == 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_compared_texts_travel_as_numbers(spark, tmp_path):
+    """The joined rows hold no text, and the view over them equals the view
+    over the given columns, also where a text is null, unknown or longer."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StringType
+
+    from ledgerlake.sources.tables import loan_columns, loans, narrow_rows
+
+    flags, status = ["N", "A", "R", "X", None, "NA"], ["F", "O", None]
+    prios = ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW", None, "", "12"]
+    kinds = ["ECONOMY TIN", "SMALL", "MEDIUM X", "PROMO Y", "STANDARD Z", "LARGE", None, "small", "ECONOM"]
+    segments = ["BUILDING", "MACHINERY", "FURNITURE", "HOUSEHOLD", None, "BUILDINGS"]
+    days = [dt.datetime(1995, 3, 2), dt.datetime(1997, 7, 4, 5), dt.datetime(2001, 8, 9), None]
+    tables = {
+        "lineitem": ([(i % 40, i % 31, i % 7, i % 8, float(i % 50 + 1), 100.0 + i, (i % 11) / 100, (i % 9) / 100,
+                       flags[i % 6], status[i % 3], days[i % 4]) for i in range(600)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+        "orders": ([(i % 38, i % 12, 1000.0 + i, prios[i % 7]) for i in range(41)],
+                   "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string"),
+        "customer": ([(i, i % 25, -5.0 + i, segments[i % 6]) for i in range(12)],
+                     "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string"),
+        "part": ([(i % 30, i % 51, kinds[i % 9]) for i in range(33)], "p_partkey long, p_size int, p_type string"),
+    }
+    frames = {name: spark.createDataFrame(rows, ddl) for name, (rows, ddl) in tables.items()}
+    for name, df in frames.items():
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert not [f.name for f in narrow_rows(spark, str(tmp_path)).schema if isinstance(f.dataType, StringType)]
+    plain = (frames["lineitem"].join(frames["orders"].withColumn("o_priority", F.substring("o_orderpriority", 1, 1)),
+                                     F.col("l_orderkey") == F.col("o_orderkey"))
+             .join(frames["customer"], F.col("o_custkey") == F.col("c_custkey"))
+             .join(frames["part"], F.col("l_partkey") == F.col("p_partkey")))
+    want, got = loan_columns(plain), loans(spark, str(tmp_path))
+    assert want.count() > 600 and want.dtypes == got.dtypes
+    assert want.exceptAll(got).count() == 0 and got.exceptAll(want).count() == 0
