@@ -167,7 +167,7 @@ def test_families_score_a_row_once(spark):
     def scorer(x):
         return lambda d: d.withColumn("risk_score", F.lit(x)).withColumn("probability_of_default", F.col("risk_score") / 2)
 
-    got = evaluate.long_scores(df, {"one": scorer(0.5), "two": scorer(0.25)})
+    got = evaluate.scored_in_one_read(df, {"one": scorer(0.5), "two": scorer(0.25)})
     assert got.columns == ["loan_id", "target", "family", "risk_score", "probability_of_default"]
     rows = sorted(map(tuple, got.collect()), key=str)
     assert rows == sorted([(i, t, f, s, s / 2) for i, t in (("a", 1), ("b", 0), ("b", 0), (None, None))
