@@ -63,7 +63,7 @@ BURN_IN, SAMPLES, PROPOSALS = 2, 3, 2
 BLOCK = 0.08
 SEED = 7
 #: Tokens packed together, and words with short codes in what is packed.
-CHUNK_TOKENS, OFTEN_WORDS = 2_000_000, 131_071
+CHUNK_TOKENS, OFTEN_WORDS = 2_000_000, 262_143
 ALPHA = 0.1
 #: Keys of the end token and of the place before a text (no word holds a blank).
 END_KEY = int(np.uint64(xxhash.xxh3_64_intdigest(b" ")).view(np.int64))
@@ -120,6 +120,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
+def _counts(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1]][:len(sorted_keys)])
+    return sorted_keys[first], np.diff(np.r_[first, len(sorted_keys)])
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    return _counts(np.sort(x))[0]
+
+
 #: Columns that hold an array a row travel as its bytes.
 WHOLE = {"w", "cw"}
 
@@ -225,7 +234,7 @@ def pack(numbers: list[np.ndarray], flags: np.ndarray) -> bytes:
     the four bytes of a number go apart, which packs better."""
     planes = [np.ascontiguousarray(x.astype(np.uint32).view(np.uint8).reshape(-1, 4).T) for x in numbers]
     body = np.concatenate([x.ravel() for x in planes] + [flags.astype(np.uint8)])
-    return np.int64(len(flags)).tobytes() + pa.Codec("zstd").compress(body.tobytes(), asbytes=True)
+    return np.int64(len(flags)).tobytes() + pa.Codec("zstd", 3).compress(body.tobytes(), asbytes=True)
 
 
 def unpack(packed: bytes, columns: int) -> tuple[list[np.ndarray], np.ndarray]:
@@ -243,8 +252,14 @@ def requests(texts: DataFrame) -> Asked:
     n_words, tokens, n_all, n_distinct = words.agg(
         F.count(F.lit(1)), F.sum("ca"), F.sum("cw"), F.sum((F.col("cw") > 0).cast("bigint"))).first()
     shares = max(partitions(spark), (tokens or 0) // DEAL_ROWS)
-    top = words.select("w", "ca").orderBy(F.desc("ca"), "w").limit(OFTEN_WORDS).collect()
-    often = np.array([START_KEY] + [r[0] for r in top], np.int64)
+    least, found = 0, 0  # the least count of at most OFTEN_WORDS words
+    for ca, n in sorted(words.groupBy("ca").count().collect(), reverse=True):
+        found += n
+        if found > OFTEN_WORDS:
+            break
+        least = ca
+    top = words.filter(F.col("ca") >= least).select("w", "ca").collect() if least else []
+    often = np.array([START_KEY] + [r[0] for r in sorted(top, key=lambda r: (-r[1], r[0]))], np.int64)
     wide = sorted((r[0], -(-r[1] // DEAL_ROWS)) for r in words.filter(
         (F.col("ca") > DEAL_ROWS) & (F.col("w") != END_KEY)).select("w", "ca").collect())
     hot, parts = np.array([r[0] for r in wide], np.int64), np.array([r[1] for r in wide], np.uint64)
@@ -283,7 +298,7 @@ def requests(texts: DataFrame) -> Asked:
             for s in np.flatnonzero(np.diff(cuts)):
                 mine = by[cuts[s]:cuts[s + 1]]
                 three = [x[mine] for x in (u, v, w)]
-                rare = np.unique(np.concatenate([x[code[x] < 0] for x in three]))
+                rare = _distinct(np.concatenate([x[code[x] < 0] for x in three]))
                 local = []
                 for x in three:
                     c = code[x]
@@ -322,23 +337,21 @@ def seat(c, others, base, discount: float, concentration: float, rng) -> tuple[n
     of those who sit already; within a block the chance of a new table stays."""
     tables, weight = np.ones(len(c)), np.zeros(len(c))
     live = np.flatnonzero(c > 1)
-    seated, t, w, size = np.ones(len(live)), tables[live], weight[live], c[live]
+    live = live[np.argsort(-c[live], kind="stable")]  # those who are done come last
+    size, t, w = c[live], tables[live], weight[live]
     grow, theta = discount * base[live], (concentration + discount * others[live]) * base[live]
-    while len(live):
-        m = np.minimum(np.maximum(1, np.floor(BLOCK * seated)), size - seated)
-        new = theta + grow * t
-        z = seated - discount * t + new
+    seated, n = 1.0, len(live)
+    while n:
+        block = max(1.0, np.floor(BLOCK * seated))
+        m, own, new = np.minimum(block, size[:n] - seated), t[:n], theta[:n] + grow[:n] * t[:n]
+        z = seated - discount * own + new
         chance = new / z
-        opened = rng.binomial(m.astype(np.int64), chance) if m[0] > 1 or m.max() > 1 else (rng.random(len(m)) < chance)
-        seated += m
-        t = t + opened
-        after = seated - discount * t + theta + grow * t
-        w = w + m * np.log((z + np.maximum(after - 1, z)) / 2)
-        over = seated >= size
-        if over.any():
-            tables[live[over]], weight[live[over]] = t[over], w[over]
-            on = ~over
-            live, seated, t, w, size, grow, theta = (x[on] for x in (live, seated, t, w, size, grow, theta))
+        own += rng.binomial(m.astype(np.int64), chance) if block > 1 else (rng.random(n) < chance)
+        after = seated + m - discount * own + theta[:n] + grow[:n] * own
+        w[:n] += m * np.log((z + np.maximum(after - 1, z)) / 2)
+        seated += block
+        n = int(np.searchsorted(-size[:n], -seated))
+    tables[live], weight[live] = t, w
     return tables, weight
 
 
@@ -517,8 +530,8 @@ def spelled(vocab: DataFrame, at: list[str]) -> DataFrame:
 
     def ask(t: pa.Table) -> pa.Table:
         keys, sizes = spellings(t["word"])
-        trained = np.unique(keys[np.repeat(_column(t, "cw") > 0, sizes)], return_counts=True)
-        every = np.unique(keys)
+        trained = _counts(np.sort(keys[np.repeat(_column(t, "cw") > 0, sizes)]))
+        every = _distinct(keys)
         n = np.zeros(len(every), np.int64)
         n[np.searchsorted(every, trained[0])] = trained[1]
         return pa.table({"bin": np.full(len(every), t["bin"][0].as_py(), np.int64), "key": every, "n": n})
@@ -557,7 +570,7 @@ def root(base: DataFrame, asks: DataFrame, at: list[str]) -> DataFrame:
     """(bin, w, cw, shift, p), a row a bin: predictions of the root from its
     customers, the sums of c over ``asks`` (bin, w, c). Its dishes are dealt by
     word; the sum of the tables is renewed after each sweep."""
-    law = WORD_LAW[0]
+    law, drawn = WORD_LAW[0], []
 
     def met(t: pa.Table, more: pa.Table) -> pa.Table:
         w = _vector(t, "w")
@@ -567,7 +580,7 @@ def root(base: DataFrame, asks: DataFrame, at: list[str]) -> DataFrame:
         return t.append_column("c", _arrays(c=[c])["c"])
 
     fields = "bin bigint, w binary, cw binary, base binary, shift binary, c binary"
-    rows = kept(base.groupBy("bin").cogroup(asks.select("bin", "w", "c").groupBy("bin")).applyInArrow(met, fields), "lm-root", at)
+    rows = kept(base.groupBy("bin").cogroup(asks.select("bin", "w", "c").groupBy("bin")).applyInArrow(met, fields), "lm-root", drawn)
 
     def begun(t: pa.Table) -> pa.Table:
         c, own = _vector(t, "c"), _vector(t, "base")
@@ -600,16 +613,16 @@ def root(base: DataFrame, asks: DataFrame, at: list[str]) -> DataFrame:
         if sweep >= BURN_IN:
             mean_total += total / SAMPLES
 
-    def told(t: pa.Table, drawn: pa.Table) -> pa.Table:
+    def told(t: pa.Table, seated: pa.Table) -> pa.Table:
         c, own = _vector(t, "c"), _vector(t, "base")
         tables = (c > 0).astype(float)
-        tables[c > 1] = _vector(drawn, "mean")
+        tables[c > 1] = _vector(seated, "mean")
         p = (c - law[0] * tables + (law[1] + law[0] * mean_total) * own) / (law[1] + n)
         return t.select(["bin", "w", "cw", "shift"]).append_column("p", _arrays(p=[p])["p"])
 
     made = kept(rows.groupBy("bin").cogroup(live.select("bin", "mean").groupBy("bin")).applyInArrow(
         told, "bin bigint, w binary, cw binary, shift binary, p binary"), "lm-root", at)
-    discard(live.sparkSession, mine)
+    discard(live.sparkSession, mine + drawn)
     return made
 
 
@@ -626,11 +639,6 @@ def answered(asks: DataFrame, level0: DataFrame) -> DataFrame:
         run, ANSWERS)
 
 
-def _counts(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    first = np.flatnonzero(np.r_[True, sorted_keys[1:] != sorted_keys[:-1]][:len(sorted_keys)])
-    return sorted_keys[first], np.diff(np.r_[first, len(sorted_keys)])
-
-
 def _rooms(x: np.ndarray) -> np.ndarray:
     return np.cumsum(np.r_[False, x[1:] != x[:-1]][:len(x)]).astype(np.int64)
 
@@ -641,16 +649,16 @@ class Share:
 
     def __init__(self, t: pa.Table, often: np.ndarray, hot: np.ndarray):
         rare = [np.frombuffer(x.as_py(), np.int64) for x in t["keys"]]
-        self.vocabulary = np.unique(np.concatenate([often, *rare]))
+        self.vocabulary = _distinct(np.concatenate([often, *rare]))
         self.k, self.blobs = len(self.vocabulary), t
         self.bits = np.int64(int(self.k).bit_length())
         low = (1 << self.bits) - 1
         short = np.searchsorted(self.vocabulary, often)
-        self.maps = [np.r_[short, np.searchsorted(self.vocabulary, x)] for x in rare]
+        self.short, self.rare = short, [np.searchsorted(self.vocabulary, x) for x in rare]
         self.leads = None
         if self.bits > 21:  # three places do not fit 63 bits: number the pairs (v, u)
-            some = [np.unique(v << self.bits | u) for u, v, _, _, _ in map(self.tokens, range(len(t)))]
-            self.leads = np.unique(np.concatenate(some))
+            some = [_distinct(v << self.bits | u) for u, v, _, _, _ in map(self.tokens, range(len(t)))]
+            self.leads = _distinct(np.concatenate(some))
         trained, held = [], []
         for i in range(len(t)):
             key, _, off = self.keyed(i)
@@ -662,7 +670,7 @@ class Share:
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][:len(key)])
         n = np.add.reduceat(n, first) if len(first) else n
         key = key[first]
-        self.key = np.unique(np.concatenate([key, *held]))
+        self.key = _distinct(np.concatenate([key, *held]))
         self.n = np.zeros(len(self.key))
         self.n[np.searchsorted(self.key, key)] = n
         lead, self.w = self.key >> self.bits, self.key & low
@@ -683,8 +691,13 @@ class Share:
 
     def tokens(self, i: int):
         (u, v, w, step), held = unpack(self.blobs["body"][i].as_py(), 4)
-        m = self.maps[i]
-        return m[u], m[v], m[w], np.cumsum(step), held
+        return *(self.placed(i, x) for x in (u, v, w)), np.cumsum(step), held
+
+    def placed(self, i: int, x: np.ndarray) -> np.ndarray:
+        """Places in the vocabulary of the codes of a packed row."""
+        n, many = np.empty_like(x), x < len(self.short)
+        n[many], n[~many] = self.short[x[many]], self.rare[i][x[~many] - len(self.short)]
+        return n
 
     def keyed(self, i: int):
         u, v, w, doc, held = self.tokens(i)
@@ -751,7 +764,7 @@ def ask_table(askers: list[int], rows: list[tuple]) -> pa.Table:
 def merged(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """(w, c) of a hot word from its parts' rows."""
     lists = [_vector(t, "w", i) for i in range(len(t))]
-    w = np.unique(np.concatenate(lists))
+    w = _distinct(np.concatenate(lists))
     c = np.zeros(len(w))
     for i, x in enumerate(lists):
         c[np.searchsorted(w, x)] += _vector(t, "c", i)
@@ -842,7 +855,7 @@ def fitted(asked: Asked) -> Fitted:
 
     def level0(asks: DataFrame, hot: DataFrame, at: list[str]) -> DataFrame:
         """The root, given its customers, and what it answers."""
-        every, own = asks.filter("bin IS NOT NULL").unionByName(kept(hot, "lm-hot", at)), []
+        every, own = asks.filter("bin IS NOT NULL").unionByName(hot), []
         answers = kept(answered(every, root(base, every, own)), "lm-answers", at)
         discard(spark, own)
         return answers
@@ -853,13 +866,14 @@ def fitted(asked: Asked) -> Fitted:
     # One table a dish at first; then each level's tables are the next one's customers.
     asks = over_shares(asked, None, first, ASKS, "lm-asks", at)
     parts = asks.filter("v IS NOT NULL")
-    answers = level0(asks, hot_asks(parts, None, bins), at)
+    answers = level0(asks, kept(hot_asks(parts, None, bins), "lm-hot", at), at)
     last: list[str] = []
     asks = over_shares(asked, told(answers, parts), second, ASKS, "lm-asks", last)
     parts = asks.filter("v IS NOT NULL")
-    hot = hot_asks(parts, answers.filter("asker < 0"), bins)
+    hot = kept(hot_asks(parts, answers.filter("asker < 0"), bins), "lm-hot", last)
+    discard(spark, at)
     answers = level0(asks, hot, last)
-    discard(spark, at + spelt)
+    discard(spark, spelt)
     customers = asks.filter("v IS NULL AND bin IS NULL").select(
         "asker", "v", "bin", F.col("c").alias("p"), F.lit(None).cast("binary").alias("cw"), F.lit(None).cast("binary").alias("shift"))
     return Fitted(asked, told(answers, parts).unionByName(customers), bins, last)
