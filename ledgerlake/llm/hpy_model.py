@@ -2,11 +2,13 @@
 
 Text model: a text is its words (maximal runs outside ``[\\x20\\x09-\\x0D]``,
 A-Z lower-cased) and an end token. A restaurant stands for a context of two
-words, its parent for the last of them, the root for none; rows of a Spark table
-(u, v, w) are the dishes w of the context (u, v). Two-word restaurants are dealt
-to tasks by v (those of a frequent v also by u), one-word ones by v, the root's
-dishes by w. Each level is seated in jobs of its own, its tables are its parent's
-customers, and the parent's predictions reach it by a join.
+words, its parent for the last of them, the root for none. The tokens, each with
+the two before it, are dealt to shares by the middle word v and packed once
+(frequent words as ranks, others as keys of the share's part of a chunk); the
+table is bucketed by share, so that no later pass moves it again. Two-word and
+one-word restaurants of v are seated in its share. Words of more than half a share
+are dealt to several by u too; their one-word restaurants are seated apart, by v.
+The root's dishes are dealt by word; shares ask it for their words, by bin.
 
 Base of the root: a word's spelling by a byte model, itself a Pitman-Yor
 hierarchy over contexts of up to four symbols of the spelling (bytes, then an
@@ -24,10 +26,11 @@ one or two customers it is exact). The two upper levels of the byte model (at
 most 258**2 dishes) are sampled on the driver. Predictive probabilities are
 averaged over the last sweeps.
 
-Scoring asks per chunk of documents for each distinct word triple once, joins
-these with the model by key, and brings the answers to the chunk's texts:
-nothing is broadcast but the byte model's bounded upper levels and the list of
-frequent words (at most one for ``DEAL_ROWS`` triples), and texts are shuffled once.
+Scoring sums each document's tokens in each share and adds up the shares' sums.
+Nothing is broadcast but the byte model's bounded upper levels, the keys of at most
+``OFTEN_WORDS`` words and the list of the hot words (at most two for ``DEAL_ROWS``
+tokens). Stages are deleted when nothing reads them any more; the draws follow the
+dealing, so another number of shares gives other draws of the same law.
 
 Null and empty texts hold the end only. Rows with a null doc_id are not held
 out. Repeated rows count and are scored each on their own.
@@ -214,7 +217,7 @@ class Asked(NamedTuple):
     """What is asked of the model: ``packed`` (share, row, keys, body; share < 0:
     row, doc_id, held_out of the texts) and its table's name, ``words`` (w, word, cw, ca), the number of
     shares, the keys with short codes, and the words whose tokens fill more than
-    a share, with the number of shares that they are dealt to."""
+    half a share, with the number of shares that they are dealt to."""
 
     packed: DataFrame
     table: str
@@ -260,8 +263,8 @@ def requests(texts: DataFrame) -> Asked:
         least = ca
     top = words.filter(F.col("ca") >= least).select("w", "ca").collect() if least else []
     often = np.array([START_KEY] + [r[0] for r in sorted(top, key=lambda r: (-r[1], r[0]))], np.int64)
-    wide = sorted((r[0], -(-r[1] // DEAL_ROWS)) for r in words.filter(
-        (F.col("ca") > DEAL_ROWS) & (F.col("w") != END_KEY)).select("w", "ca").collect())
+    wide = sorted((r[0], -(-r[1] // (DEAL_ROWS // 2))) for r in words.filter(
+        (F.col("ca") > DEAL_ROWS // 2) & (F.col("w") != END_KEY)).select("w", "ca").collect())
     hot, parts = np.array([r[0] for r in wide], np.int64), np.array([r[1] for r in wide], np.uint64)
     shared = spark.sparkContext.broadcast((often, np.argsort(often), hot, parts))
     kind = texts.schema["doc_id"].dataType.simpleString()
@@ -673,12 +676,11 @@ class Share:
         self.key = _distinct(np.concatenate([key, *held]))
         self.n = np.zeros(len(self.key))
         self.n[np.searchsorted(self.key, key)] = n
-        lead, self.w = self.key >> self.bits, self.key & low
-        self.room = _rooms(lead)
-        pair = lead if self.leads is None else self.leads[lead]
-        self.v, self.u = pair >> self.bits, pair & low
-        self.pair, self.of = np.unique(self.v << self.bits | self.w, return_inverse=True)
-        self.pv, self.pw = self.pair >> self.bits, self.pair & low
+        self.w, self.room = (self.key & low).astype(np.int32), _rooms(self.key >> self.bits).astype(np.int32)
+        every = self.contexts()[1] << self.bits | self.w
+        pair = _distinct(every)
+        self.of = np.searchsorted(pair, every).astype(np.int32)
+        self.pv, self.pw, self.pairs = pair >> self.bits, pair & low, len(pair)
         at = np.searchsorted(self.vocabulary, hot) if len(hot) else np.zeros(0, np.int64)
         here = at < self.k
         here[here] = self.vocabulary[at[here]] == hot[here]
@@ -689,6 +691,12 @@ class Share:
         used[self.pw] = True
         self.asked = np.flatnonzero(used)
 
+    def contexts(self) -> tuple[np.ndarray, np.ndarray]:
+        """u and v of the triples, as places in the vocabulary."""
+        lead = self.key >> self.bits
+        lead = lead if self.leads is None else self.leads[lead]
+        return lead & ((1 << self.bits) - 1), lead >> self.bits
+
     def tokens(self, i: int):
         (u, v, w, step), held = unpack(self.blobs["body"][i].as_py(), 4)
         return *(self.placed(i, x) for x in (u, v, w)), np.cumsum(step), held
@@ -729,7 +737,7 @@ class Share:
 
     def answers(self, t: pa.Table, bins: int) -> dict[str, np.ndarray]:
         """By place in the vocabulary p, cw and shift; ``hot``: p of the hot words' pairs."""
-        got = {"p": np.zeros(self.k), "cw": np.zeros(self.k, np.int64), "shift": np.zeros(self.k), "hot": np.zeros(len(self.pair))}
+        got = {"p": np.zeros(self.k), "cw": np.zeros(self.k, np.int64), "shift": np.zeros(self.k), "hot": np.zeros(self.pairs)}
         places, wide = dict(self.by_bin(bins)), dict(self.wide())
         for i, (b, v) in enumerate(zip(t["bin"].to_pylist(), t["v"].to_pylist())):
             if v is not None:
@@ -744,7 +752,7 @@ class Share:
     def one_word(self, c: np.ndarray, got: dict, rng) -> tuple[np.ndarray, np.ndarray]:
         """(tables, predictions) of the one-word contexts; of hot words as they were told."""
         own = ~self.split
-        t, p = np.zeros(len(self.pair)), got["hot"].copy()
+        t, p = np.zeros(self.pairs), got["hot"].copy()
         t[own], p[own] = sampled(c[own], _rooms(self.pv[own]), got["p"][self.pw[own]], WORD_LAW[1], rng)
         return t, p
 
@@ -818,6 +826,7 @@ def over_shares(asked: Asked, answers: DataFrame | None, make, ddl: str, name: s
     shared = asked.packed.sparkSession.sparkContext.broadcast((asked.often, asked.hot))
 
     def run(t: pa.Table, up: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         return make(t["share"][0].as_py(), Share(t, *shared.value), up)
 
     by = asked.packed.filter("share >= 0").select("share", "row", "keys", "body").groupBy("share")
@@ -841,14 +850,14 @@ def fitted(asked: Asked) -> Fitted:
     discard(spark, spelt[:-1] + asked.folders[:1])
 
     def first(share: int, s: Share, _) -> pa.Table:
-        c = np.bincount(s.of[s.n > 0], minlength=len(s.pair)).astype(float)
+        c = np.bincount(s.of[s.n > 0], minlength=s.pairs).astype(float)
         return s.ask(share, bins, (c > 0).astype(float), c)
 
     def second(share: int, s: Share, up: pa.Table) -> pa.Table:
         got, rng = s.answers(up, bins), np.random.default_rng([SEED, 2, share])
-        c = np.bincount(s.of[s.n > 0], minlength=len(s.pair)).astype(float)
+        c = np.bincount(s.of[s.n > 0], minlength=s.pairs).astype(float)
         t, _ = s.two_words(s.one_word(c, got, rng)[1], rng)
-        customers = np.bincount(s.of, t, len(s.pair))
+        customers = np.bincount(s.of, t, s.pairs)
         out = s.ask(share, bins, s.one_word(customers, got, rng)[0], customers)
         kept_back = [(None, None, np.zeros(0, np.int64), customers)]
         return pa.concat_tables([out, ask_table([share], kept_back)])
@@ -892,7 +901,8 @@ def fit_words(asked: Asked) -> tuple[DataFrame, int, int]:
 
     def run(share: int, s: Share, up: pa.Table) -> pa.Table:
         got, p = _final(share, s, up, bins)
-        return pa.table({"u": s.vocabulary[s.u], "v": s.vocabulary[s.v], "w": s.vocabulary[s.w],
+        u, v = s.contexts()
+        return pa.table({"u": s.vocabulary[u], "v": s.vocabulary[v], "w": s.vocabulary[s.w],
                          "cw": got["cw"][s.w], "shift": got["shift"][s.w], "p": p})
 
     rows = over_shares(asked, model.answers, run, "u bigint, v bigint, w bigint, cw bigint, shift double, p double", "lm-model", [])

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
-    chat_repair, decontaminate, hpy_model, line_runs, near_duplicates, quality_ledger, secret_scan,
+    chat_repair, common, decontaminate, hpy_model, line_runs, near_duplicates, quality_ledger, secret_scan,
     sentencepiece_codec, spelling_variants, toxicity, url_rules,
 )
 from ledgerlake.llm.queries import URL_RULES, tokenizer_file
@@ -400,6 +400,38 @@ def test_hpy_word_context_reaches_the_score(spark):
     assert sizes[1] > 3 * sizes[0]
 
 
+def test_hpy_triples_travel_packed(spark, monkeypatch):
+    """Packed triples take few bytes a token, no stage but the scores is left, and
+    words dealt to several shares give the counts, and nearly the scores, of whole ones."""
+    rng = np.random.default_rng(5)
+    odds = 1 / np.arange(1, 301)
+    texts = [(i, " ".join(f"w{k}" for k in rng.choice(300, 100, p=odds / odds.sum()))) for i in range(300)] + [(None, None), (0, "w1 New")]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    asked = hpy_model.requests(hpy_model.chunked(frame))
+    rows = asked.packed.filter("share >= 0")
+    n_bytes = rows.selectExpr("sum(length(keys) + length(body))").first()[0]
+    assert n_bytes < 12 * 101 * 300 and not len(asked.hot)
+    assert asked.packed.filter("share < 0").count() == len(texts)
+
+    made = []
+    folder = hpy_model.stage_folder
+    monkeypatch.setattr(common, "stage_folder", lambda *a: made.append(folder(*a)) or made[-1])
+    monkeypatch.setattr(hpy_model, "stage_folder", common.stage_folder)
+    runs = []
+    for deal in (hpy_model.DEAL_ROWS, 3000):
+        monkeypatch.setattr(hpy_model, "DEAL_ROWS", deal)
+        runs.append(sorted((tuple(r) for r in hpy_model.score(frame).collect()), key=repr))
+    assert len(hpy_model.requests(hpy_model.chunked(frame)).hot) > 1
+    left = [f for f in made[:made.index(next(x for x in made[1:] if "lm-texts" in x))] if os.path.exists(f.removeprefix("file:"))]
+    assert {f.rsplit("/", 1)[1].rsplit("-", 1)[0] for f in left} <= {"lm-texts", "lm-scores"}
+    whole, split = runs
+    assert [r[:5] for r in whole] == [r[:5] for r in split]
+    assert [r[5] for r in whole] == pytest.approx([r[5] for r in split])
+    total = [sum(r[6] for r in run) for run in runs]
+    assert total[1] == pytest.approx(total[0], rel=0.02)
+    assert np.corrcoef([r[6] for r in whole], [r[6] for r in split])[0, 1] > 0.97
+
+
 def test_hpy_predictions_sum_to_one():
     """After any seating the probabilities of all symbols after a context sum to one."""
     rng = np.random.default_rng(0)
