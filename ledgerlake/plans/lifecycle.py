@@ -84,7 +84,8 @@ def train_and_evaluate(spark: SparkSession, sf_dir: str, p: C.Params = C.DEFAULT
 
     profit = policy.fit_profit_model(train)
     calib, tune = splits.calibration_tuning(validation, p)
-    calibrators = {f: models.fit_isotonic(m.score(calib)) for f, m in fitted.items()}
+    # scored first: the fit's filter on a score would carry the whole scoring expression, inputs and all
+    calibrators = {f: models.fit_isotonic(cut_lineage(m.score(calib).select("risk_score", "target"))) for f, m in fitted.items()}
     scorers = {f: lambda df, f=f: models.calibrate(fitted[f].score(df), calibrators[f]) for f in families}
     # tuning never sees the test frame
     tuned = evaluate.tune(cut_lineage(evaluate.long_scores(tune, scorers)), list(families))
